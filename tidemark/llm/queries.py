@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, prefix_bpe, severity, substrings, token_blocks, url_rules
-from ._common import scratch_path, table
+from . import identifiers, imatch, packing, prefix_bpe, severity, substrings, token_blocks, url_rules
+from ._common import NULL_ID, scratch_path, table
 
 #: (verdict, host, path)
 URL_RULES = [("block", "com", "/en/"), ("allow", "example.com", "/en/7"), ("allow", "net", "/de/"), ("block", "example.net", "/de/8"), ("block", "org", "/es/")]
@@ -79,8 +79,20 @@ def op6_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return severity.score(docs, model).drop("text")
 
 
+def op7_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identifiers.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n_of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{identifiers.KINDS[k]}")
+    doc_id = F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id")
+    return found.select(doc_id, *[n_of(k) for k in range(4)], F.sha2(identifiers.joined(F.col("base")), 256).alias("base_sha256"), identifiers.joined(F.col("spans")).alias("spans"))
+
+
+def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return imatch.edit_likeness(docs, imatch.lexicon(docs))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_blocks, op2_prefix_bpe, op3_url_rules, op4_substrings, op5_packing, op6_severity)}
+    return {f.__name__: f for f in (op1_token_blocks, op2_prefix_bpe, op3_url_rules, op4_substrings, op5_packing, op6_severity, op7_identifiers, op8_imatch)}
 
 
 def oracle_sql() -> dict[str, str]:

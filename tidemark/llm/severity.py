@@ -36,7 +36,7 @@ class OrdinalModel:
         return 1 / (1 + np.exp(np.clip(np.array(self.cuts) - score, -60, 60)))
 
 
-def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, penalty: float = 1.0, steps: int = 400) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, penalty: float = 0.005, steps: int = 1500) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ascending cut points that maximise the penalised likelihood, by scaled gradient steps."""
     n_cuts = int(grades.max()) if len(grades) else 0
     shares = np.array([np.clip((grades > k).mean(), 1e-3, 1 - 1e-3) for k in range(n_cuts)])
@@ -112,7 +112,7 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
     return OrdinalModel(dict(zip(names, weights.tolist())), cuts.tolist())
 
 
-def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", least: float = 0.5) -> DataFrame:
+def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", least: float = 0.2) -> DataFrame:
     """docs with expected_severity, severity (the likeliest count of cut points passed) and toxic (P(grade > 0) >= least).
 
     A null or empty text has the severity of a text without known words. Without a model, or with
