@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import identifiers, imatch, packing, prefix_bpe, severity, substrings, token_blocks, url_rules
+from . import identifiers, imatch, packing, prefix_bpe, severity, shingle_join, substrings, token_blocks, url_rules, vector_passes
 from ._common import NULL_ID, scratch_path, table
 
 #: (verdict, host, path)
@@ -91,8 +91,16 @@ def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.edit_likeness(docs, imatch.lexicon(docs))
 
 
+def op9_vector_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_passes.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.public_ids(shingle_join.similar(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_blocks, op2_prefix_bpe, op3_url_rules, op4_substrings, op5_packing, op6_severity, op7_identifiers, op8_imatch)}
+    return {f.__name__: f for f in (op1_token_blocks, op2_prefix_bpe, op3_url_rules, op4_substrings, op5_packing, op6_severity, op7_identifiers, op8_imatch, op9_vector_passes, op10_shingle_join)}
 
 
 def oracle_sql() -> dict[str, str]:
