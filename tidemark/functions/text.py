@@ -41,21 +41,22 @@ def hash16(text: Column) -> Column:
     return F.substring(F.sha2(text, 256), 1, 16)
 
 
-def content_id(prefix: str, members: Column) -> Column:
+def content_id(prefix: str, members: Column, by: str = "\n") -> Column:
     """An id that depends only on which members there are."""
-    return F.concat(F.lit(prefix), hash16(F.array_join(F.array_sort(F.array_distinct(members)), "\n")))
+    return F.concat(F.lit(prefix), hash16(F.array_join(F.array_sort(F.array_distinct(members)), by)))
 
 
 def playbook_id(members: Column) -> Column:
     return content_id("sescl-", members)
 
 
-def campaign_id(kind: str, members: Column) -> Column:
-    return content_id({"behaviour": "cmp-beh-", "infrastructure": "cmp-inf-"}[kind], members)
+def campaign_id(members: Column) -> Column:
+    """The id of a behaviour campaign, by its set of playbooks."""
+    return content_id("cmp-beh-", members, "|")
 
 
 def finding_id(kind: str, value: Column) -> Column:
-    return F.concat(F.lit({"playbook": "find-pla-", "campaign": "find-cam-"}[kind]), hash16(F.concat(F.lit(kind + "\n"), value)))
+    return F.concat(F.lit({"playbook": "find-pla-", "campaign": "find-cam-"}[kind]), hash16(F.concat(F.lit(kind + ":"), value)))
 
 
 def credential(user: Column, password: Column) -> Column:

@@ -47,10 +47,13 @@ def noise(classification: Column, is_noise: Column, riot: Column, name: Column)
     )
 
 
-def threat_entry(level: Column) -> Column:
-    """The best indicator entry's confidence level: from 50 on it votes."""
-    sure = F.least(F.greatest(F.floor(level / 10.0), F.lit(5)), F.lit(10))
-    return F.when(level.isNull(), verdict()).when(level >= 50, verdict(True, "threatfox_ioc", sure, F.array(F.lit("threatfox")), direct=True)).otherwise(verdict(None, "threatfox_low", None, F.array(F.lit("threatfox"))))
+def threat_entry(level: Column, malware: Column | None = None) -> Column:
+    """The best indicator entry's confidence level: from 50 on it votes, less only informs."""
+    who = F.lit(None).cast("string") if malware is None else malware
+    sure = F.least(F.greatest(5 + F.bround((level - 50) / 10.0, 0), F.lit(5.0)), F.lit(10.0))
+    low = verdict(None, "threatfox_low", None, F.array_compact(F.array(F.lit("threatfox_low_confidence"), who)))
+    high = verdict(True, "threatfox_ioc", sure, F.array_compact(F.array(F.lit("threatfox_ioc"), who)), direct=True)
+    return F.when(level.isNull(), verdict()).when(level >= 50, high).otherwise(low)
 
 
 def reports_confidence(reports: Column) -> Column:
@@ -62,18 +65,20 @@ def reports_confidence(reports: Column) -> Column:
 def consensus(verdicts: Column) -> Column:
     """struct(malicious, label, override, tags, n_malicious, n_with_data, rarity, confidence_max) of array<VERDICT>.
 
-    Direct evidence wins; else an authoritative all-clear; else any malicious vote.
+    Direct evidence wins over all; an authoritative all-clear over other votes; else any vote
+    counts. The label is the first of the votes that decided, or else of all.
     """
-    direct = F.exists(verdicts, lambda v: F.coalesce(v["malicious"], F.lit(False)) & v["evidence_direct"])
-    clean = F.exists(verdicts, lambda v: v["authoritative_clean"])
     bad = F.filter(verdicts, lambda v: F.coalesce(v["malicious"], F.lit(False)))
+    direct, clean = F.filter(bad, lambda v: v["evidence_direct"]), F.filter(verdicts, lambda v: v["authoritative_clean"])
     known = F.filter(verdicts, lambda v: v["label"].isNotNull() | v["malicious"].isNotNull())
-    any_bad, total = F.size(bad) > 0, F.size(verdicts)
-    malicious = direct | (~clean & any_bad)
-    override = F.when(direct & clean, F.lit("direct_malicious")).when(clean & any_bad, F.lit("authoritative_clean")).otherwise(F.lit(""))
-    best = F.element_at(F.reverse(F.array_sort(F.transform(F.when(malicious, bad).otherwise(known), lambda v: F.struct(F.coalesce(v["confidence"], F.lit(0)).alias("c"), v["label"].alias("l"))))), 1)
+    first = lambda vs: F.get(F.filter(F.transform(vs, lambda v: v["label"]), lambda x: x.isNotNull() & (x != "")), F.lit(0))
+    n, total = F.size(known), F.size(verdicts)
+    deciding = F.when(F.size(direct) > 0, first(direct)).when(F.size(clean) > 0, first(clean)).otherwise(first(bad))
     return F.struct(
-        malicious.alias("malicious"), F.when(F.size(known) == 0, F.lit("unknown")).otherwise(F.coalesce(best["l"], F.lit("unknown"))).alias("label"), override.alias("override"),
-        F.array_distinct(F.flatten(F.transform(verdicts, lambda v: v["tags"]))).alias("tags"), F.size(bad).alias("n_malicious"), F.size(known).alias("n_with_data"),
-        F.when(total == 0, F.lit(1.0)).otherwise((total - F.size(known)) / F.greatest(total, F.lit(1))).alias("rarity"), F.array_max(F.transform(verdicts, lambda v: v["confidence"])).alias("confidence_max"),
+        F.when(F.size(direct) > 0, True).when(F.size(clean) > 0, False).otherwise(F.size(bad) > 0).alias("malicious"),
+        F.coalesce(deciding, first(verdicts), F.lit("unknown")).alias("label"),
+        F.when(F.size(direct) > 0, F.lit("direct_malicious")).when(F.size(clean) > 0, F.lit("authoritative_clean")).otherwise(F.lit("")).alias("override"),
+        F.array_distinct(F.flatten(F.transform(verdicts, lambda v: v["tags"]))).alias("tags"), F.size(bad).alias("n_malicious"), n.alias("n_with_data"),
+        F.when(total == 0, F.lit(1.0)).otherwise((total - n) / F.greatest(total, F.lit(1))).alias("rarity"),
+        F.array_max(F.transform(verdicts, lambda v: v["confidence"])).alias("confidence_max"),
     )

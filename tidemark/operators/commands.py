@@ -52,7 +52,7 @@ def siblings(events: DataFrame, sample: int = DEFAULT.sample_sessions, top: int
     pairs = pairs.withColumn("bucket", F.row_number().over(within)).where(F.col("bucket") <= max(5 * top, 20))
     score = F.col("tf") * (F.log(F.lit(sessions + 1.0)) - F.log(F.col("df") + 1.0))
     ranked = Window.partitionBy("anchor").orderBy(F.desc("score"), F.desc("tf"), F.col(item))
-    out = pairs.join(df, item).withColumn("score", F.round(score, 6)).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
+    out = pairs.join(df, item).withColumn("score", F.round(score, 6)).withColumn("rank", F.row_number().over(ranked).cast("long")).where(F.col("rank") <= top)
     return out.select("anchor", F.col(item).alias("sibling"), "tf", "df", "score", "rank")
 
 

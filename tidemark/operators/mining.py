@@ -47,7 +47,7 @@ def behaviour_campaigns(sessions: DataFrame, support: int = DEFAULT.itemset_supp
     sets = closed(itemsets(by_ip, support))
     members = holders(sets, by_ip).join(by_ip.drop("items"), "source_ip")
     out = members.groupBy("items").agg(F.count("*").alias("ip_count"), F.sum(F.size("sessions")).alias("session_count"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.slice(F.array_sort(F.collect_set("source_ip")), 1, 50).alias("member_source_ips"))
-    return out.select(T.campaign_id("behaviour", F.col("items")).alias("campaign_id"), F.lit("behaviour").alias("kind"), F.col("items").alias("member_playbook_ids"), F.col("ip_count").alias("support"), "ip_count", "session_count", "first_seen", "last_seen", "member_source_ips")
+    return out.select(T.campaign_id(F.col("items")).alias("campaign_id"), F.lit("behaviour").alias("kind"), F.col("items").alias("member_playbook_ids"), F.col("ip_count").alias("support"), "ip_count", "session_count", "first_seen", "last_seen", "member_source_ips")
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", checkpoint: bool = True) -> DataFrame:
@@ -96,6 +96,6 @@ def infrastructure_campaigns(session_artifacts: DataFrame, min_sessions: int = D
     tally = shared.join(members, "session_id").groupBy("component", "kind", "value").agg(F.countDistinct("session_id").alias("n"), F.first("idf").alias("idf"))
     order = Window.partitionBy("component").orderBy(F.desc(F.round(F.col("n") * F.col("idf"), 9)), "kind", "value")
     best = tally.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    prints = best.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "kind", "value"))), lambda x: F.concat_ws(":", x["kind"], x["value"])).alias("fingerprint"))
+    prints = best.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "kind", "value"))), lambda x: F.concat_ws("=", x["kind"], x["value"])).alias("fingerprint"))
     out = groups.join(prints, "component")
-    return out.select(T.campaign_id("infrastructure", F.col("fingerprint")).alias("campaign_id"), F.lit("infrastructure").alias("kind"), "session_count", "ip_count", "member_source_ips", "fingerprint")
+    return out.select(F.concat(F.lit("cmp-inf-"), T.hash16(F.array_join("fingerprint", "|"))).alias("campaign_id"), F.lit("infrastructure").alias("kind"), "session_count", "ip_count", "member_source_ips", "fingerprint")

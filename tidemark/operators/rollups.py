@@ -68,7 +68,7 @@ def dominant(rows: DataFrame, key: str, item: str, top: int = 3) -> DataFrame:
     """(key, item, n, rank): the most frequent items of each key, ties in lexical order."""
     counts = rows.where(F.col(item).isNotNull()).groupBy(key, item).agg(F.count("*").alias("n"))
     order = Window.partitionBy(key).orderBy(F.desc("n"), F.col(item))
-    return counts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return counts.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
 
 
 def top_keys(rows: DataFrame, key: str, top: int) -> DataFrame:
