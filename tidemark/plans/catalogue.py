@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from . import more_queries as _more  # registers its queries
 from .queries import QUERIES, SQL
 
 
+assert _more
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
