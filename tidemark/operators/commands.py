@@ -103,7 +103,12 @@ def stale(commands: DataFrame, live_hash: str) -> DataFrame:
 def escalations(commands: DataFrame, cost: str, budget: float) -> DataFrame:
     """The most novel commands first while their summed cost stays within the budget.
 
-    Costs are summed over days' queues by rank; only a queue that a daily budget can pay is ever held.
+    More than budget / least cost of them can't be paid, so only that many are ranked and summed.
     """
-    order = Window.orderBy(F.desc("novelty_score"), "command_hash").rowsBetween(Window.unboundedPreceding, 0)
-    return commands.withColumn("spent", F.sum(cost).over(order)).where(F.col("spent") <= budget)
+    least = commands.agg(F.min(cost)).first()[0]
+    if not least or least <= 0:
+        raise ValueError("costs must be positive")
+    order = [F.desc("novelty_score"), F.col("command_hash")]
+    payable = commands.orderBy(*order).limit(int(budget / least) + 1)
+    summed = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return payable.withColumn("spent", F.sum(cost).over(summed)).where(F.col("spent") <= budget)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import shell
+from .rollups import least_members
 
 #: Systems in the order in which a page is taken (fixed values).
 SYSTEMS = ("linux", "common", "osx", "windows", "android")
@@ -22,8 +23,8 @@ def dictionary(curated: DataFrame, pages: DataFrame) -> DataFrame:
 def token_counts(commands: DataFrame, denied: DataFrame) -> DataFrame:
     """(token, n, lines) of commands that lines call, by their occurrences, with at most three lines each."""
     calls = commands.select("command_line", "occurrence_count", F.explode(shell.commands(F.col("command_line"))).alias("c")).select("command_line", "occurrence_count", F.col("c.command").alias("token")).distinct()
-    lines = F.slice(F.array_sort(F.collect_set("command_line")), 1, 3)
-    return calls.groupBy("token").agg(F.sum("occurrence_count").alias("n"), lines.alias("lines")).join(denied.select(F.lower("token").alias("token"), F.lit(True).alias("denied")), "token", "left")
+    lines = least_members(calls, "token", "command_line", 3, "lines")
+    return calls.groupBy("token").agg(F.sum("occurrence_count").alias("n")).join(lines, "token").join(denied.select(F.lower("token").alias("token"), F.lit(True).alias("denied")), "token", "left")
 
 
 def coverage(counts: DataFrame, known: DataFrame, cap: int = 200) -> DataFrame:

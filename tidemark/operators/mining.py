@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 
 from ..config import DEFAULT
 from ..functions import text as T
+from .rollups import least_members
 
 
 def bags(sessions: DataFrame) -> DataFrame:
-    """Per address its set of playbooks, its sessions with one, their first and last time."""
+    """Per address its set of playbooks, the number of its sessions with one, their first and last time."""
     known = sessions.where(F.col("source_ip").isNotNull() & F.col("playbook_id").isNotNull())
     return known.groupBy("source_ip").agg(
-        F.array_sort(F.collect_set("playbook_id")).alias("items"), F.array_sort(F.collect_list(F.struct("start_ts", "session_id"))).alias("sessions"), F.min("start_ts").alias("first_seen"), F.max("start_ts").alias("last_seen")
+        F.array_sort(F.collect_set("playbook_id")).alias("items"), F.count("*").alias("session_count"), F.min("start_ts").alias("first_seen"), F.max("start_ts").alias("last_seen")
     )
 
 
@@ -46,7 +47,8 @@ def behaviour_campaigns(sessions: DataFrame, support: int = DEFAULT.itemset_supp
     by_ip = bags(sessions)
     sets = closed(itemsets(by_ip, support))
     members = holders(sets, by_ip).join(by_ip.drop("items"), "source_ip")
-    out = members.groupBy("items").agg(F.count("*").alias("ip_count"), F.sum(F.size("sessions")).alias("session_count"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"), F.slice(F.array_sort(F.collect_set("source_ip")), 1, 50).alias("member_source_ips"))
+    out = members.groupBy("items").agg(F.count("*").alias("ip_count"), F.sum("session_count").alias("session_count"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
+    out = out.join(least_members(members, "items", "source_ip", 50, "member_source_ips"), "items")
     return out.select(T.campaign_id(F.col("items")).alias("campaign_id"), F.lit("behaviour").alias("kind"), F.col("items").alias("member_playbook_ids"), F.col("ip_count").alias("support"), "ip_count", "session_count", "first_seen", "last_seen", "member_source_ips")
 
 
@@ -91,8 +93,9 @@ def infrastructure_campaigns(session_artifacts: DataFrame, min_sessions: int = D
     found = components(shared.select(F.concat(F.lit("s\x1f"), "session_id").alias("a"), node.alias("b")))
     members = found.where(F.col("node").startswith("s\x1f")).select(F.substring("node", 3, 1 << 20).alias("session_id"), "component")
     placed = rows.select("session_id", "source_ip").distinct().join(members, "session_id")
-    groups = placed.groupBy("component").agg(F.countDistinct("session_id").alias("session_count"), F.countDistinct("source_ip").alias("ip_count"), F.slice(F.array_sort(F.collect_set("source_ip")), 1, 50).alias("member_source_ips"))
+    groups = placed.groupBy("component").agg(F.countDistinct("session_id").alias("session_count"), F.countDistinct("source_ip").alias("ip_count"))
     groups = groups.where((F.col("session_count") >= min_sessions) & (F.col("ip_count") >= min_ips))
+    groups = groups.join(least_members(placed, "component", "source_ip", 50, "member_source_ips"), "component")
     tally = shared.join(members, "session_id").groupBy("component", "kind", "value").agg(F.countDistinct("session_id").alias("n"), F.first("idf").alias("idf"))
     order = Window.partitionBy("component").orderBy(F.desc(F.round(F.col("n") * F.col("idf"), 9)), "kind", "value")
     best = tally.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)

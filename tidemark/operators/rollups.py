@@ -47,9 +47,19 @@ def last_event(events: DataFrame, action: str, key: str = "session_id") -> DataF
     return events.where(F.col("action") == action).groupBy(key).agg(F.max(F.struct("ts", "event_id"))["event_id"].alias("event_id"))
 
 
+def least_members(rows: DataFrame, key: str, member: str, n: int, name: str) -> DataFrame:
+    """(key, name): the n least distinct members of each key, sorted.
+
+    They are ranked by a window, which spills, so a key with very many members is never held.
+    """
+    distinct = rows.where(F.col(member).isNotNull()).select(key, member).distinct()
+    ranked = distinct.withColumn("__rank", F.row_number().over(Window.partitionBy(key).orderBy(member))).where(F.col("__rank") <= n)
+    return ranked.groupBy(key).agg(F.array_sort(F.collect_list(member)).alias(name))
+
+
 def credentials(events: DataFrame, key: str = "session_id", cap: int = DEFAULT.credential_cap) -> DataFrame:
-    pair = T.credential(F.col("user_name"), F.col("password"))
-    return events.groupBy(key).agg(F.slice(F.array_sort(F.collect_set(pair)), 1, cap).alias("credentials"))
+    pairs = events.withColumn("pair", T.credential(F.col("user_name"), F.col("password")))
+    return events.select(key).distinct().join(least_members(pairs, key, "pair", cap, "credentials"), key, "left").select(key, F.coalesce("credentials", F.array().cast("array<string>")).alias("credentials"))
 
 
 def addresses(rolled: DataFrame) -> DataFrame:
