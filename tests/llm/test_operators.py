@@ -251,7 +251,7 @@ def test_shingle_join(spark):
     rng = random.Random(9)
     rows = []
     for group in range(12):
-        base = prose(rng, rng.choice([3, 4, 5, 9, 40, 120])).split()
+        base = prose(rng, 700 if group == 0 else rng.choice([3, 4, 5, 9, 40, 120, 600])).split()
         for _ in range(rng.choice([1, 3, 8])):
             copy = list(base)
             for _ in range(rng.randint(0, max(1, len(copy) // 30))):
@@ -282,6 +282,23 @@ def test_count_tree_drops_no_pair():
         assert sorted(tree.reach(points[q], int(sizes[q])).tolist()) == np.flatnonzero(bound).tolist()
 
 
+def test_pair_bound_drops_no_link(spark):
+    """Counts in unequal numbers of groups are compared in the fewer ones."""
+    rng = np.random.default_rng(15)
+    rows, links = [], set()
+    sets = [np.unique(rng.integers(0, 1 << 40, n)).astype("u8") for n in (500, 530, 600, 900)]
+    for s in list(sets):
+        sets.append(np.unique(np.concatenate([s[rng.random(len(s)) < 0.95], rng.integers(0, 1 << 40, 5).astype("u8")])))
+    for k, s in enumerate(sets):
+        count = lambda g, s=s: np.bincount((s % np.uint64(g)).astype("i8"), minlength=g).astype("<u4").tobytes()
+        rows.append((k, len(s), bytearray(count(shingle_join.GROUPS)), bytearray(count(shingle_join.FINE)) if len(s) > shingle_join.LONG else None))
+    pairs = [(a, b) for a in range(8) for b in range(a + 1, 8)]
+    links = {(a, b) for a, b in pairs if shingle_join.linked(sets[a], sets[b])}
+    classes = spark.createDataFrame(rows, "node long, n long, counts binary, fine binary")
+    got = {tuple(r) for r in shingle_join._bounded(spark.createDataFrame(pairs, "a long, b long"), classes).collect()}
+    assert links == {(k, k + 4) for k in range(4)} and links <= got
+
+
 def test_prefix_shares_a_shingle():
     rng = np.random.default_rng(11)
     late = np.sort(rng.choice(4000, 500, replace=False)).astype("u8")

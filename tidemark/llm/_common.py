@@ -55,10 +55,15 @@ def _remove_all() -> None:
 
 
 def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df as a table in the shared folder: computed once, and not lost with an executor."""
+    """df as a table in the shared folder: computed once, and not lost with an executor.
+
+    The shuffle files that led to it are of no more use. Spark's cleaner drops them when the driver's
+    JVM collects its garbage, which a small driver does rarely, so that is asked for here.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.options(**options).parquet(path)
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

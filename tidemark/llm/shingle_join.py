@@ -23,6 +23,8 @@ from ._common import NULL_ID, order_id, written
 from .graph import Forest, components, unique_in_task
 
 WORDS, GROUPS, LEAF, TILE = 5, 64, 16, 2048
+#: Sets of more shingles than this are counted in more groups as well, as a few groups tell long sets apart badly.
+LONG, FINE = 512, 1024
 #: Frequent shingles that are put last at most. Which ones changes no result, only the blocks' sizes.
 FREQUENT = 1 << 18
 _M = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
@@ -119,39 +121,98 @@ class CountTree:
         return at[9 * np.minimum(self.points[at], point).sum(1) >= 4 * (size + self.sizes[at])]
 
 
+#: Blocks up to this size are compared as one leaf, without a tree above it.
+ONE_LEAF = 32
+
+
+def _tree_pairs(key, node, comp, size, points, tile):
+    """Pairs of one large block, of tiles key[1] and key[2], by a tree over its points."""
+    tree = CountTree(points, size)
+    for q in np.flatnonzero(tile == key[2]).tolist():
+        near = tree.reach(points[q], int(size[q]))
+        own = (tile[near] == key[1]) if key[1] != key[2] else (node[near] < node[q])
+        near = near[own & (comp[near] != comp[q])]
+        yield np.minimum(node[near], node[q]), np.maximum(node[near], node[q])
+
+
 def _block_pairs(batches):
-    """Pairs (a, b) of classes of different components that pass the bound; rows come block by block."""
-    key, held = None, []
-
-    def pairs():
-        node = np.array([r[0] for r in held], "i8")
-        comp = np.array([r[1] for r in held], "i8")
-        size = np.array([r[2] for r in held], "i8")
-        points = np.stack([np.frombuffer(r[3], "<u4") for r in held]).astype("i8")
-        tile = np.array([r[4] for r in held])
-        queries = np.flatnonzero(tile == key[2])
-        tree = CountTree(points, size)
-        for q in queries.tolist():
-            near = tree.reach(points[q], int(size[q]))
-            near = near[(comp[near] != comp[q]) & ((tile[near] == key[1]) if key[1] != key[2] else (node[near] < node[q]))]
-            for other in node[near].tolist():
-                yield min(other, int(node[q])), max(other, int(node[q]))
-
-    def batch_of(out):
-        return pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+    """Pairs (a, b) of classes of different components that pass the bound; rows come block by block.
+
+    Small blocks are compared all at once, a pair that several of them hold once.
+    """
+    names = ("token", "i", "j", "node", "comp", "n", "tile")
+    held, held_points = None, None
+
+    def pairs(rows, points):
+        token, i, j, node, comp, n, tile = rows
+        heads = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+        ends = np.append(heads[1:], len(token))
+        block = np.repeat(np.arange(len(heads)), ends - heads)
+        small = (ends - heads <= ONE_LEAF)[block]
+        left, right = [], []
+        for step in range(1, min(ONE_LEAF, len(token))):
+            at = np.flatnonzero((block[step:] == block[:-step]) & small[step:] & (comp[step:] != comp[:-step]))
+            left.append(at)
+            right.append(at + step)
+        if left:
+            x, y = np.concatenate(left), np.concatenate(right)
+            a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
+            order = np.lexsort((b, a))
+            new = np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])) if len(order) else np.zeros(0, bool)
+            once = order[new]
+            for k in range(0, len(once), 1 << 14):
+                part = once[k : k + (1 << 14)]
+                ok = 9 * np.minimum(points[x[part]], points[y[part]]).sum(1) >= 4 * (n[x[part]] + n[y[part]])
+                yield a[part][ok], b[part][ok]
+        for k in np.flatnonzero(ends - heads > ONE_LEAF).tolist():
+            own = slice(heads[k], ends[k])
+            yield from _tree_pairs((token[heads[k]], i[heads[k]], j[heads[k]]), node[own], comp[own], n[own], points[own], tile[own])
+
+    def batch_of(found):
+        found = [f for f in found if len(f[0])]
+        if found:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], names=["a", "b"])
 
     for batch in batches:
-        out = []
-        for r in zip(*[batch[c].to_pylist() for c in ("token", "i", "j", "node", "comp", "n", "counts", "tile")]):
-            if r[:3] != key:
-                if len(held) > 1:
-                    out += pairs()
-                key, held = r[:3], []
-            held.append(r[3:])
-        if out:
-            yield batch_of(out)
-    if len(held) > 1 and (out := list(pairs())):
-        yield batch_of(out)
+        rows = [batch[c].to_numpy().astype("i8") for c in names]
+        points = np.frombuffer(b"".join(batch["counts"].to_pylist()), "<u4").reshape(-1, GROUPS).astype("i8")
+        if held is not None:
+            rows, points = [np.concatenate(x) for x in zip(held, rows)], np.concatenate([held_points, points])
+        # the last block may go on in the next batch
+        last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]) & (rows[2] == rows[2][-1])
+        held, held_points = [r[last] for r in rows], points[last]
+        if (out := batch_of(pairs([r[~last] for r in rows], points[~last]) if not last.all() else [])) is not None:
+            yield out
+    if held is not None and (out := batch_of(pairs(held, held_points))) is not None:
+        yield out
+
+
+def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts in fewer groups; both numbers are powers of two."""
+    return counts.reshape(len(counts), -1, groups).sum(1)
+
+
+def _allowed(batches):
+    """Pairs whose counts, in as many groups as both have, allow the similarity."""
+    for batch in batches:
+        sizes = batch["a_n"].to_numpy() + batch["b_n"].to_numpy()
+        raw = [batch[c].to_pylist() for c in ("a_counts", "b_counts")]
+        width = np.array([[len(x) // 4 for x in r] for r in raw]).reshape(2, -1)
+        kept = np.zeros(len(sizes), bool)
+        for wide in np.unique(width, axis=1).T:
+            own = np.flatnonzero((width == wide[:, None]).all(0))
+            for k in range(0, len(own), 2048):
+                part = own[k : k + 2048]
+                a, b = (_folded(np.frombuffer(b"".join([r[p] for p in part]), "<u4").astype("i8").reshape(len(part), -1), wide.min()) for r in raw)
+                kept[part] = 9 * np.minimum(a, b).sum(1) >= 4 * sizes[part]
+        yield batch.select(["a", "b"]).filter(pa.array(kept))
+
+
+def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs that may be linked, by size and by the finest counts that there are."""
+    a, b = (classes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.coalesce("fine", "counts").alias(f"{c}_counts")) for c in "ab")
+    sized = pairs.join(a.drop("a_counts"), "a").join(b.drop("b_counts"), "b").where(10 * F.least("a_n", "b_n") >= 8 * F.greatest("a_n", "b_n"))
+    return sized.join(a.drop("a_n"), "a").join(b.drop("b_n"), "b").mapInArrow(_allowed, "a long, b long")
 
 
 def _verified(batches):
@@ -178,6 +239,14 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return written(pairs.join(b, "b").join(a, "a").sortWithinPartitions("a", "b").mapInArrow(_verified, "a long, b long"), "links")
 
 
+def _texts(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(node, text) of the classes in the pairs, a text of each."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = classes.join(nodes, "node", "left_semi").select("key", "node")
+    found = rows.withColumn("key", F.struct("doc", "tie")).join(wanted, "key").dropDuplicates(["node"])
+    return written(found.select("node", "text"), "texts", compression="zstd")
+
+
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, tie, n_shingles, component) of every row; doc is NULL_ID for a null id, tie tells texts with one id apart.
 
@@ -196,7 +265,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         """A task gives the prefix of a set that it sees again only once, as far as its memory goes."""
         seen: set[int] = set()
         for batch in batches:
-            nodes, sizes, tokens, counts = [], [], [], []
+            nodes, sizes, tokens, counts, fine = [], [], [], [], []
+            in_groups = lambda own, groups: np.bincount((own % np.uint64(groups)).astype("i8"), minlength=groups).astype("<u4").tobytes()
             for text in batch["text"]:
                 own = shingles(text.as_py())
                 node = xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
@@ -207,28 +277,27 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 new = len(own) > 0 and node not in seen
                 seen.add(node)
                 tokens.append(prefix(own, *shared.value).view("i8") if new else None)
-                counts.append(np.bincount((own % np.uint64(GROUPS)).astype("i8"), minlength=GROUPS).astype("<u4").tobytes() if new else None)
+                counts.append(in_groups(own, GROUPS) if new else None)
+                fine.append(in_groups(own, FINE) if new and len(own) > LONG else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"], batch["tie"], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
-                names=["doc", "tie", "node", "n", "tokens", "counts"],
+                [batch["doc"], batch["tie"], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(counts, pa.binary()), pa.array(fine, pa.binary())],
+                names=["doc", "tie", "node", "n", "tokens", "counts", "fine"],
             )
 
-    described_rows = rows.mapInArrow(described, "doc long, tie int, node long, n long, tokens array<long>, counts binary")
+    described_rows = rows.mapInArrow(described, "doc long, tie int, node long, n long, tokens array<long>, counts binary, fine binary")
     table = written(described_rows, "sets", compression="zstd")
     firsts = table.where(F.col("tokens").isNotNull())
-    classes = firsts.groupBy("node").agg(F.min(F.struct("doc", "tie")).alias("key"), F.first("n").alias("n"), F.first("counts").alias("counts"))
+    classes = firsts.groupBy("node").agg(F.min(F.struct("doc", "tie")).alias("key"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
+    classes = written(classes, "classes", compression="zstd")
 
     # Blocks of at least two classes. One shuffle: by shingle.
     meet = firsts.select(F.explode("tokens").alias("token"), "node").repartition("token").groupBy("token", "node").agg(F.lit(0).alias("one"))
     of_token = Window.partitionBy("token")
     blocks = meet.select("token", "node", F.min("node").over(of_token).alias("least"), F.max("node").over(of_token).alias("most")).where("least < most").select("token", "node", "least")
     blocks = written(blocks, "blocks", compression="zstd")
-    wanted = classes.join(blocks.select("node").distinct(), "node", "left_semi")
-    texts = rows.withColumn("key", F.struct("doc", "tie")).join(wanted.select("key", "node"), "key").dropDuplicates(["node"]).select("node", "text")
-    texts = written(texts, "texts", compression="zstd")
-
-    stars = blocks.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    links = _links(stars, texts)
+    stars = blocks.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).mapInArrow(unique_in_task, "a long, b long").distinct()
+    stars = written(_bounded(stars, classes), "stars")
+    links = _links(stars, _texts(rows, stars, classes))
     labels = components(links)
 
     # What is still apart within a block.
@@ -239,10 +308,12 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     tiles = F.transform(F.sequence(F.lit(0), F.col("last")), lambda t: F.struct(F.least(t, F.col("tile")).alias("i"), F.greatest(t, F.col("tile")).alias("j")))
     dealt = ranked.withColumn("at", F.explode(tiles)).select("token", "at.i", "at.j", "node", "comp", "tile")
     dealt = dealt.join(classes.select("node", "n", "counts"), "node").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    pairs = dealt.mapInArrow(_block_pairs, "a long, b long").mapInArrow(unique_in_task, "a long, b long").distinct()
-    links = links.unionByName(_links(pairs, texts))
+    pairs = written(dealt.mapInArrow(_block_pairs, "a long, b long").mapInArrow(unique_in_task, "a long, b long").distinct(), "pairs")
+    pairs = written(_bounded(pairs, classes), "bounded")
+    if not pairs.isEmpty():
+        links = links.unionByName(_links(pairs, _texts(rows, pairs, classes)))
+        labels = components(links)
 
-    labels = components(links)
     with_label = table.join(labels, "node", "left").select("doc", "tie", "n", F.coalesce("label", "node").alias("label"))
     with_label = written(with_label, "labelled")
     least = written(with_label.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc").alias("component")), "least")
