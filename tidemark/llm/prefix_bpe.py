@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import hashlib
 from collections.abc import Iterable
 
 import numpy as np
@@ -67,7 +68,7 @@ class Vocabulary:
         self.sizes = [len(b) for b in self.bytes_of]
         self.longest = max(self.sizes)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
+        self._fits: dict[int, bool] = {}
 
     @classmethod
     def read(cls, path: str) -> "Vocabulary":
@@ -89,12 +90,13 @@ class Vocabulary:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether merging by ranks leaves the bytes of both as just these two tokens."""
-        key = (left, right)
-        if key not in self._fits:
-            if len(self._fits) >= 2_000_000:
+        key = left << 32 | right
+        known = self._fits.get(key)
+        if known is None:
+            if len(self._fits) >= 400_000:
                 self._fits.clear()
-            self._fits[key] = self._apart(left, right)
-        return self._fits[key]
+            known = self._fits[key] = self._apart(left, right)
+        return known
 
     def _spine(self, token: int, side: int) -> list[int]:
         """What stands at one edge of the token while it is merged, from its byte on."""
@@ -145,7 +147,7 @@ class PrefixTokens(PieceIds):
     """Ids of texts, each match of the pattern encoded separately."""
 
     def __init__(self, path: str, pattern: str):
-        super().__init__(pattern)
+        super().__init__(pattern, words=350_000, pieces=250_000)
         self.vocabulary = Vocabulary.read(path)
         self.decimal = [str(i) for i in range(len(self.vocabulary.sizes))]
 
@@ -193,3 +195,25 @@ def decode(encoded: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
 
     rows = encoded.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{ids_col}`").alias("ids"))
     return rows.mapInArrow(data, "doc_id long, data binary, text_ids string")
+
+
+def round_trips(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256): each text encoded, its ids decoded again.
+
+    Both in one pass, so ids never leave the worker. ids_sha256 is of the decimal ids, comma-joined.
+    Nulls and repeats as in encode().
+    """
+
+    def digests(batches):
+        tokens = prefix_tokens(path, pattern)
+        sha = lambda x: hashlib.sha256(x).hexdigest()
+        for batch in batches:
+            doc_ids = iter(batch["doc_id"].to_pylist())
+            for texts in by_size((t.as_py() for t in batch["text"])):
+                out = []
+                for encoded in tokens.encode_many(texts):
+                    ids = encoded.tolist()
+                    out.append((next(doc_ids), len(ids), sha(",".join(map(tokens.decimal.__getitem__, ids)).encode()), sha(tokens.vocabulary.decode(ids))))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), (pa.int64(), pa.int64(), pa.string(), pa.string()))], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    return id_and_text(docs, id_col, text_col).mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,21 +33,7 @@ def op1_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path, pattern = _vocabulary("byte_bpe_multi_50k.tiktoken"), _pattern()
-    encoded = prefix_bpe.encode(table(spark, sf_dir, "documents"), path, pattern)
-
-    def digests(batches):
-        tokens = prefix_bpe.prefix_tokens(path, pattern)
-        sha = lambda x: hashlib.sha256(x).hexdigest()
-        for batch in batches:
-            out = []
-            for raw in batch["ids"]:
-                ids = memoryview(raw.as_buffer()).cast("I").tolist()
-                out.append((sha(",".join(map(tokens.decimal.__getitem__, ids)).encode()), sha(tokens.vocabulary.decode(ids))))
-            columns = [pa.array(c, pa.string()) for c in (zip(*out) if out else ((), ()))]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["n_tokens"], *columns], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-
-    return encoded.mapInArrow(digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return prefix_bpe.round_trips(table(spark, sf_dir, "documents"), _vocabulary("byte_bpe_multi_50k.tiktoken"), _pattern())
 
 
 def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,5 +87,20 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_token_blocks, op2_prefix_bpe, op3_url_rules, op4_substrings, op5_packing, op6_severity, op7_identifiers, op8_imatch, op9_vector_passes, op10_shingle_join)}
 
 
+#: Components by walking all links; `link` has (a, b) in both directions, `node` has (id).
+_WALK = """walk AS (SELECT id, id AS reach FROM node UNION SELECT w.id, l.b FROM walk w JOIN link l ON l.a = w.reach),
+least AS (SELECT id, min(reach) AS component_id FROM walk GROUP BY 1)"""
+
+OP9_SQL = f"""WITH RECURSIVE v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), node AS (SELECT id FROM v),
+link AS (SELECT x.id AS a, y.id AS b FROM v x JOIN v y ON x.id <> y.id AND list_cosine_similarity(x.e, y.e) >= 0.95), {_WALK}
+SELECT id AS vec_id, (SELECT count(*) FROM link WHERE a = id) AS n_links, component_id, component_id = id AS kept FROM least"""
+
+OP10_SQL = rf"""WITH RECURSIVE words AS (SELECT doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (SELECT id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(generate_series(1, greatest(1, len(w) - 4)), lambda k: array_to_string(w[k:k + 4], ' '))) END AS s FROM words),
+node AS (SELECT id FROM sets), one AS (SELECT id, len(s) AS n, unnest(s) AS x FROM sets),
+link AS (SELECT p.id AS a, q.id AS b FROM one p JOIN one q ON p.x = q.x AND p.id <> q.id GROUP BY p.id, q.id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))), {_WALK}
+SELECT id AS doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id FROM sets JOIN least USING (id)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_vector_passes": OP9_SQL, "op10_shingle_join": OP10_SQL}
