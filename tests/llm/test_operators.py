@@ -226,6 +226,27 @@ def test_vectors(spark):
     assert vector_passes.near_vectors(table.limit(0)).count() == 0
 
 
+def dense_links(rows, least):
+    """n_links of usable vectors of one length, all pairs compared."""
+    unit = np.array([v for _, v in rows])
+    unit /= np.linalg.norm(unit, axis=1)[:, None]
+    return {k: int(n) for (k, _), n in zip(rows, (unit @ unit.T >= least).sum(1) - 1)}
+
+
+@pytest.mark.parametrize("noise", [0.001, 0.018, 0.026])
+def test_vectors_of_a_large_group(spark, monkeypatch, noise):
+    monkeypatch.setattr(vector_passes, "TILE", 700)
+    rng = np.random.default_rng(10)
+    middle = rng.normal(size=64)
+    middle /= np.linalg.norm(middle)
+    rows = [(k, (middle + rng.normal(size=64) * noise).tolist()) for k in range(3000)] + [(4000 + k, rng.normal(size=64).tolist()) for k in range(200)]
+    rows += [(5000 + k, rows[k][1]) for k in range(30)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in vector_passes.near_vectors(table).collect()}
+    want = dense_links(rows, 0.95)
+    assert sum(want.values()) > 1_000_000 and got == want
+
+
 # --- shingles
 
 

@@ -1,10 +1,14 @@
 """Near-duplicate vectors by sorted projection passes.
 
 In each pass a vector's key is the signs of its products with 48 random directions, concatenated.
-Vectors are ordered by key and id, and each is compared with the next WINDOW ones. Near vectors share
+Vectors are ordered by key, and each is compared with the next WINDOW ones. Near vectors share
 long key prefixes in some pass. Equal vectors are one class from the start, so a vector that a third
-of the rows repeat is compared once. Vectors of one pass with one key are ordered by further
-projections, so that near ones stand side by side there too.
+of the rows repeat is compared once. Vectors of one pass with one key are ordered by their product
+with a further direction, so that near ones stand side by side there too.
+
+The passes only say what hangs together. Links are then counted exactly among all vectors of a
+component: these are ordered by their angle to one of them and cut into tiles, and two tiles are
+compared unless their angles alone say that all of their pairs are links, or that none is.
 """
 
 from __future__ import annotations
@@ -18,6 +22,8 @@ from ._common import NULL_ID, order_id, written
 from .graph import components
 
 PASSES, BITS, WINDOW, BLOCK, SEED = 24, 48, 64, 2048, 9
+#: Members of a component in a tile; what angles and products may be wrong by through rounding.
+TILE, ANGLE_SLACK, PRODUCT_SLACK = 2048, 1e-6, 1e-9
 
 
 def _unit(vectors: list) -> tuple[np.ndarray, np.ndarray]:
@@ -41,6 +47,10 @@ def _directions(size: int, passes: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(SEED)).standard_normal((passes, size, BITS))
 
 
+def _tie_directions(size: int, passes: int) -> np.ndarray:
+    return np.random.Generator(np.random.PCG64(SEED + 1)).standard_normal((passes, size))
+
+
 def _pass_rows(passes: int):
     def rows(batches):
         for batch in batches:
@@ -50,11 +60,11 @@ def _pass_rows(passes: int):
                     continue
                 own = part["cls"].to_numpy()[good]
                 raw = [v.tobytes() for v in unit]
-                planes = _directions(size, passes)
+                planes, ties = _directions(size, passes), _tie_directions(size, passes)
                 weights = 1 << np.arange(BITS - 1, -1, -1, dtype="i8")
                 for k in range(passes):
                     keys = ((unit @ planes[k] > 0) @ weights).astype("i8")
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), k, "i4")), pa.array(np.full(len(own), size, "i4")), pa.array(keys), pa.array(own), pa.array(raw, pa.binary())], names=["pass", "size", "key", "cls", "unit"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), k, "i4")), pa.array(np.full(len(own), size, "i4")), pa.array(keys), pa.array(unit @ ties[k]), pa.array(own), pa.array(raw, pa.binary())], names=["pass", "size", "key", "tie", "cls", "unit"])
 
     return rows
 
@@ -102,11 +112,102 @@ def _compare(least: float, window: int):
     return pairs
 
 
+def _angles(batches):
+    """Members of components with their angles to the component's pivot."""
+    for batch in batches:
+        for _, part in _by_length(batch):
+            unit, pivot = _unit(part["embedding"].to_pylist())[0], _unit(part["pivot"].to_pylist())[0]
+            angle = 2 * np.arcsin(np.minimum(np.sqrt(((unit - pivot) ** 2).sum(1)) / 2, 1))
+            columns = [part["label"], part["cls"], part["copies"], pa.array(angle), pa.array([v.tobytes() for v in unit], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["label", "cls", "copies", "angle", "unit"])
+
+
+def _near(a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which rows of a and b are linked; products close to the limit are taken again as the passes take them."""
+    product = a @ b.T
+    near = product >= least
+    x, y = np.nonzero(np.abs(product - least) < PRODUCT_SLACK)
+    near[x, y] = np.einsum("ij,ij->i", a[x], b[y]) >= least
+    return near
+
+
+def _count(least: float):
+    def counts(batches):
+        """(cls, others) for each pair of tiles i and j; rows come pair by pair, and by component within."""
+        pair, held = None, []
+
+        def found():
+            label, tile, cls, copies = (np.array([r[k] for r in held], "i8") for k in range(4))
+            others = np.zeros(len(held), "i8")
+            heads = np.flatnonzero(np.append(True, label[1:] != label[:-1]))
+            for a, b in zip(heads, np.append(heads[1:], len(label))):
+                unit = np.frombuffer(b"".join([r[4] for r in held[a:b]]), "f8").reshape(b - a, -1)
+                left, right = np.flatnonzero(tile[a:b] == pair[0]), np.flatnonzero(tile[a:b] == pair[1])
+                near = _near(unit[left], unit[right], least)
+                if pair[0] == pair[1]:
+                    np.fill_diagonal(near, False)
+                    others[a:b] = near @ copies[a:b]
+                else:
+                    others[a + left], others[a + right] = near @ copies[a + right], near.T @ copies[a + left]
+            return pa.RecordBatch.from_arrays([pa.array(cls), pa.array(others)], names=["cls", "others"])
+
+        for batch in batches:
+            for r in zip(*[batch[c].to_pylist() for c in ("i", "j", "label", "tile", "cls", "copies", "unit")]):
+                if r[:2] != pair:
+                    if held:
+                        yield found()
+                    pair, held = r[:2], []
+                held.append(r[2:])
+        if held:
+            yield found()
+
+    return counts
+
+
+def _placed(ordered: DataFrame) -> DataFrame:
+    """Rows of a written table with column `at`, an increasing id, numbered through from 0 as `place`."""
+    part = F.shiftright("at", 33)
+    sizes = sorted(ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())  # one number a partition
+    starts, total = [], 0
+    for r in sizes:
+        starts.append((r["part"], total))
+        total += r["n"]
+    starts = ordered.sparkSession.createDataFrame(starts, "part long, first long")
+    return ordered.withColumn("part", part).join(F.broadcast(starts), "part").withColumn("place", F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+
+
+def _others(classes: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """(cls, others): how many vectors of other classes each class of a component is linked with, all pairs looked at."""
+    members = classes.join(labels.select(F.col("node").alias("cls"), "label"), "cls")
+    pivots = classes.select(F.col("cls").alias("label"), F.col("embedding").alias("pivot"))
+    members = members.join(pivots, "label").select("label", "cls", "copies", "embedding", "pivot").mapInArrow(_angles, "label long, cls long, copies long, angle double, unit binary")
+    ordered = members.repartitionByRange("label", "angle", "cls").sortWithinPartitions("label", "angle", "cls")
+    ordered = written(ordered.withColumn("at", F.monotonically_increasing_id()), "members")
+    members = _placed(ordered).withColumn("tile", F.floor(F.col("place") / TILE).cast("long")).select("label", "tile", "cls", "copies", "angle", "unit")
+
+    tiles = written(members.groupBy("label", "tile").agg(F.min("angle").alias("low"), F.max("angle").alias("high"), F.sum("copies").alias("n")), "tiles")
+    i, j = (tiles.select("label", *[F.col(c).alias(f"{side}_{c}") for c in ("tile", "low", "high", "n")]) for side in "ij")
+    reach = float(np.arccos(np.clip(least, -1, 1)))
+    pairs = i.join(j, "label").where((F.col("i_tile") <= F.col("j_tile")) & (F.greatest(F.col("j_low") - F.col("i_high"), F.col("i_low") - F.col("j_high")) <= reach + ANGLE_SLACK))
+    pairs = written(pairs.withColumn("sure", F.col("i_high") + F.col("j_high") <= reach - ANGLE_SLACK), "pairs")
+
+    sides = F.when(F.col("i_tile") == F.col("j_tile"), F.array("i_tile")).otherwise(F.array("i_tile", "j_tile"))
+    dealt = pairs.where("not sure").select("label", F.col("i_tile").alias("i"), F.col("j_tile").alias("j"), F.explode(sides).alias("tile")).join(members.drop("angle"), ["label", "tile"])
+    dealt = dealt.select("i", "j", "label", "tile", "cls", "copies", "unit").repartition("i", "j").sortWithinPartitions("i", "j", "label")
+    compared = dealt.mapInArrow(_count(least), "cls long, others long")
+
+    both = F.array(F.struct(F.col("i_tile").alias("tile"), F.col("j_n").alias("n")), F.struct(F.col("j_tile").alias("tile"), F.col("i_n").alias("n")))
+    known = pairs.where("sure").select("label", F.explode(F.when(F.col("i_tile") == F.col("j_tile"), F.slice(both, 1, 1)).otherwise(both)).alias("s"), (F.col("i_tile") == F.col("j_tile")).alias("own"))
+    known = known.groupBy("label", F.col("s.tile").alias("tile")).agg(F.sum("s.n").alias("n"), F.max("own").alias("own"))
+    known = members.join(known, ["label", "tile"]).select("cls", (F.col("n") - F.when(F.col("own"), F.col("copies")).otherwise(0)).alias("others"))
+    return compared.unionByName(known).groupBy("cls").agg(F.sum("others").alias("others"))
+
+
 def near_vectors(rows: DataFrame, least: float = 0.95, passes: int = PASSES, window: int = WINDOW, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every row.
 
-    Links are pairs found whose cosine in double precision is at least `least`; equal vectors are
-    linked. Vectors that are null, empty, zero, or hold null or non-finite components link with
+    Links are pairs whose cosine in double precision is at least `least`; equal vectors are linked. The
+    passes find the components; within each, every link counts. Vectors that are null, empty, zero, or hold null or non-finite components link with
     nothing, nor do vectors of different lengths. Rows with one id count as vectors of their own. A
     null id counts as the least and has component null if that is its component's least id.
     """
@@ -118,28 +219,16 @@ def near_vectors(rows: DataFrame, least: float = 0.95, passes: int = PASSES, win
     classes = vectors.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("k").alias("least_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     classes = written(classes.withColumnRenamed("digest", "cls"), "classes")
 
-    spread = classes.select("cls", "embedding").mapInArrow(_pass_rows(passes), "pass int, size int, key long, cls long, unit binary")
-    ordered = spread.repartitionByRange("pass", "size", "key", "cls").sortWithinPartitions("pass", "size", "key", "cls")
-    ordered = written(ordered.withColumn("at", F.monotonically_increasing_id()), "passes")
-    part = F.shiftright("at", 33)
-    sizes = sorted(ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())  # one number a partition
-    starts, total = [], 0
-    for r in sizes:
-        starts.append((r["part"], total))
-        total += r["n"]
-    starts = rows.sparkSession.createDataFrame(starts, "part long, first long")
-    placed = ordered.withColumn("part", part).join(F.broadcast(starts), "part").withColumn("place", F.col("first") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1)))
+    spread = classes.select("cls", "embedding").mapInArrow(_pass_rows(passes), "pass int, size int, key long, tie double, cls long, unit binary")
+    ordered = spread.repartitionByRange("pass", "size", "key", "tie", "cls").sortWithinPartitions("pass", "size", "key", "tie", "cls")
+    placed = _placed(written(ordered.withColumn("at", F.monotonically_increasing_id()), "passes"))
     placed = placed.withColumn("lane", F.col("pass") * 100_000 + F.col("size"))
     block = F.floor(F.col("place") / BLOCK).cast("long")
     in_blocks = F.when((F.col("place") % BLOCK < window) & (block > 0), F.array(block - 1, block)).otherwise(F.array(block))
     dealt = placed.select(F.explode(in_blocks).alias("block"), "place", "lane", "cls", "unit").repartition("block").sortWithinPartitions("block")
-    links = written(dealt.mapInArrow(_compare(least, window), "a long, b long").distinct(), "links")
-
-    copies = classes.select(F.col("cls"), F.col("copies"))
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = both.join(copies, F.col("b") == F.col("cls")).groupBy("a").agg(F.sum("copies").alias("others"))
-    labels = components(links)
-    known = classes.select("cls", "least_id", "copies").join(others.withColumnRenamed("a", "cls"), "cls", "left").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
+    labels = components(dealt.mapInArrow(_compare(least, window), "a long, b long"))
+    others = _others(classes, labels, least)
+    known = classes.select("cls", "least_id", "copies").join(others, "cls", "left").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     known = written(known.select("cls", "least_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("label", "cls").alias("label")), "known")
     least_ids = known.groupBy("label").agg(F.min("least_id").alias("component"))
     known = written(known.join(least_ids, "label").select("cls", "n_links", "component"), "found")
