@@ -159,6 +159,26 @@ def test_bootstrap_adds_by_context(spark):
     assert sorted((r["instance"], r["kind"]) for r in identifiers.confident(seen).collect()) == [(40, 3), (41, 3), (42, 3)]
 
 
+def test_bootstrap_finds_new_written_forms(spark):
+    rng = random.Random(11)
+    number = lambda: f"({rng.randint(0, 999):03}) {rng.randint(100, 999)}-{rng.randint(0, 9999):04}"
+    rows = [(k, f"{prose(rng, 10)} please call number {'+' if k % 10 else ''}{rng.randint(10**10, 10**11 - 1)} today or later {prose(rng, 10)}") for k in range(120)]
+    rows += [(200 + k, f"{prose(rng, 10)} ring me on {'+1 ' if k % 10 else ''}{number()} in the evening {prose(rng, 10)}") for k in range(120)]
+    rows += [(500 + k, f"{prose(rng, 8)} order {rng.randint(10**10, 10**11 - 1)} was shipped {prose(rng, 4)}") for k in range(20)]
+    rows += [(600 + k, f"{prose(rng, 8)} please call number 20{k:02} today or later {prose(rng, 4)}") for k in range(3)]
+    spans = {r["doc"]: {text[s["start"] : s["end"]] for s in r["spans"]} for r in identifiers.found(frame(spark, rows)).collect() for text in [dict(rows)[r["doc"]]]}
+    for k, text in rows:
+        want = re.search(r"(?:number|on) (.*?) (?:today|in the)", text)[1] if k < 500 else None
+        assert spans[k] == ({want} if want else set()), text
+
+
+def test_accepted_strings_induce_patterns(spark):
+    seeds = [(k, 3, [1, 2, 3]) for k in range(60)] + [(100 + k, -1, [1, 2, 3, 4, 5, 6]) for k in range(6)] + [(200, -1, [4, 5, 6])]
+    seen = spark.createDataFrame(seeds, "instance long, kind int, patterns array<long>")
+    assert {r["instance"] for r in identifiers.confident(seen, rounds=1).collect()} == set(range(100, 106))
+    assert {r["instance"] for r in identifiers.confident(seen).collect()} == {*range(100, 106), 200}
+
+
 # --- I-Match
 
 

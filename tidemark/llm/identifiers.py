@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, and further spans by bootstrapped contextual extraction.
 
-The fixed patterns' finds are seeds. What stands beside a seed (the words before and after it,
-together with its written shape) is a lexical pattern. Patterns and the strings that they meet form
-a graph, over which confidence goes back and forth: a pattern is as good as the strings it meets, a
-string as good as the patterns that meet it. Strings that no fixed pattern found, but several
-good patterns meet, are added. Texts are read once; the graph holds only digests.
+The fixed patterns' finds are seeds. The words before and after a seed are a lexical pattern.
+Patterns and the strings that they meet form a graph, over which confidence goes back and forth: a
+pattern is as good as the strings it meets, a string as good as the patterns that meet it. Strings
+that no fixed pattern found, but several good patterns meet, are added, and what stands beside these
+are patterns in the next round. How a string is written isn't part of a pattern; its form only has
+to be near that of known ones of the kind. Texts are read once; the graph holds only digests.
 """
 
 from __future__ import annotations
@@ -26,9 +27,12 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+").finditer
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").finditer
 #: Strings that may be identifiers: with a digit run, or an @ written out.
 _MAYBE = re.compile(r"[A-Za-z0-9+(][A-Za-z0-9@._%+():/-]{5,63}").finditer
+#: Numbers in groups that spaces part.
+_GROUPED = re.compile(r"(?<![\w@+])\(?[0-9]+(?:[().:/-]{0,2} ?[().:/-]{0,2}[0-9]+)+(?![\w@])").finditer
 _WORD = re.compile(r"\w+")
 _NOT_DIGIT = re.compile("[^0-9]+")
-_DIGITS, _LETTERS = re.compile("[0-9]+"), re.compile("[A-Za-z]+")
+#: The form of strings with an @; other forms are numbers of digits, and near each other up to FORM_REACH - 1 apart.
+AT_FORM, FORM_REACH = 1000, 4
 
 
 def luhn(digits: str) -> bool:
@@ -65,9 +69,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def shape(found: str) -> str:
-    """Runs of digits and letters as one sign each, other signs as they are."""
-    return _LETTERS.sub("a", _DIGITS.sub("9", found))
+def form(found: str) -> int:
+    return AT_FORM if "@" in found else min(sum(map(str.isdigit, found)), AT_FORM // 2)
 
 
 def _digest(*parts: str) -> int:
@@ -78,19 +81,24 @@ def contexts(text: str, start: int, end: int) -> list[int]:
     """Digests of the lexical patterns around a span: two words before it, two after, one on each side."""
     before = _WORD.findall(text[max(0, start - 60) : start].lower())[-2:]
     behind = _WORD.findall(text[end : end + 60].lower())[:2]
-    form, out = shape(text[start:end]), []
+    out = []
     if len(before) == 2:
-        out.append(_digest("before", form, *before))
+        out.append(_digest("before", *before))
     if len(behind) == 2:
-        out.append(_digest("behind", form, *behind))
+        out.append(_digest("behind", *behind))
     if before and behind:
-        out.append(_digest("around", form, before[-1], behind[0]))
+        out.append(_digest("around", before[-1], behind[0]))
     return out
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Spans outside the base ones that hold four digits or an @."""
+    """Spans outside the base ones that hold four digits or an @; a number in groups is one span."""
     out, taken = [], [(s, e) for s, _, e in base]
+    for m in _GROUPED(text):
+        s, e = m.span()
+        if " " in m[0] and 7 <= sum(map(str.isdigit, m[0])) <= 19 and not any(a < e and s < b for a, b in taken):
+            out.append((s, e))
+    taken += out
     for m in _MAYBE(text):
         s, e = m.span()
         while e > s and text[e - 1] in ".:-/(":
@@ -98,16 +106,16 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         if sum(map(str.isdigit, text[s:e])) >= 4 or "@" in text[s:e]:
             if not any(a < e and s < b for a, b in taken):
                 out.append((s, e))
-    return out
+    return sorted(out)
 
 
 _FOUND = pa.struct(
     [
         ("base", pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))),
-        ("seen", pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("instance", pa.int64()), ("patterns", pa.list_(pa.int64()))]))),
+        ("seen", pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64()), ("instance", pa.int64()), ("form", pa.int32()), ("patterns", pa.list_(pa.int64()))]))),
     ]
 )
-_FOUND_SQL = "struct<base:array<struct<start:long,kind:int,end:long>>,seen:array<struct<start:long,kind:int,end:long,instance:long,patterns:array<long>>>>"
+_FOUND_SQL = "struct<base:array<struct<start:long,kind:int,end:long>>,seen:array<struct<start:long,kind:int,end:long,instance:long,form:int,patterns:array<long>>>>"
 
 
 def _read(texts: pa.Array) -> pa.Array:
@@ -119,35 +127,48 @@ def _read(texts: pa.Array) -> pa.Array:
         out.append(
             {
                 "base": [{"start": s, "kind": k, "end": e} for s, k, e in base],
-                "seen": [{"start": s, "kind": k, "end": e, "instance": _digest(text[s:e]), "patterns": contexts(text, s, e)} for s, k, e in seen],
+                "seen": [{"start": s, "kind": k, "end": e, "instance": _digest(text[s:e]), "form": form(text[s:e]), "patterns": contexts(text, s, e)} for s, k, e in seen],
             }
         )
     return pa.array(out, _FOUND)
 
 
-def confident(seen: DataFrame, rounds: int = 3, min_seeds: int = 5, least: float = 0.9) -> DataFrame:
-    """(instance, kind) of strings that good patterns found, from (instance, kind or -1, pattern).
+def _form_scores(known: DataFrame) -> DataFrame:
+    """(p_kind, form, form_score): the share of a kind's known strings (p_kind, form, belief) whose form is near, nearer ones counting more."""
+    reach = F.sequence(F.lit(1 - FORM_REACH), F.lit(FORM_REACH - 1))
+    by_form = known.groupBy("p_kind", "form").agg(F.sum("belief").alias("n"))
+    near = by_form.select("p_kind", "form", "n", F.explode(reach).alias("off")).select("p_kind", (F.col("form") + F.col("off")).alias("form"), (F.col("n") * (1 - F.abs("off") / FORM_REACH)).alias("n"))
+    total = known.groupBy("p_kind").agg(F.sum("belief").alias("all"))
+    return near.groupBy("p_kind", "form").agg(F.sum("n").alias("n")).join(F.broadcast(total), "p_kind").select("p_kind", "form", (F.col("n") / F.col("all")).alias("form_score"))
+
+
+def confident(seen: DataFrame, rounds: int = 3, min_seeds: int = 5, least: float = 0.9, least_form: float = 0.1) -> DataFrame:
+    """(instance, kind) of strings that good patterns found, from (instance, kind or -1, pattern, and form if there is one).
 
-    A pattern takes part for a kind if it meets min_seeds different seeds of it. Edges are made
-    distinct first, so a string that a third of all documents repeat counts once for a pattern.
+    A pattern takes part for a kind if it meets min_seeds different strings of it: seeds, or in later
+    rounds strings accepted so far. Edges are made distinct first, so a string that a third of all
+    documents repeat counts once for a pattern.
     """
-    edges = seen.select("instance", "kind", F.explode("patterns").alias("pattern")).distinct()
-    seeds = edges.where("kind >= 0").groupBy("pattern", "kind").agg(F.count("*").alias("n_seeds")).where(F.col("n_seeds") >= min_seeds)
-    total = edges.groupBy("pattern").agg(F.count("*").alias("n_all"))
-    good = seeds.join(total, "pattern").select("pattern", F.col("kind").alias("p_kind"), "n_seeds", "n_all")
-    open_edges = written(edges.where("kind < 0").select("instance", "pattern").join(good, "pattern"), "edges")
-    belief = None
+    if "form" not in seen.columns:
+        seen = seen.withColumn("form", F.lit(0))
+    edges = seen.select("instance", "kind", "form", F.explode("patterns").alias("pattern")).distinct()
+    total = edges.groupBy("pattern").agg(F.count("*").alias("n_all")).where(F.col("n_all") >= min_seeds)
+    edges = written(edges.join(total, "pattern"), "edges")
+    seeds = written(edges.where("kind >= 0").groupBy("pattern", F.col("kind").alias("p_kind")).agg(F.count("*").alias("n_seeds"), F.first("n_all").alias("n_all")), "seeds")
+    seed_forms = written(seen.where("kind >= 0").select("instance", F.col("kind").alias("p_kind"), "form").distinct().groupBy("p_kind", "form").agg(F.count("*").cast("double").alias("belief")), "forms")
+    open_edges = edges.where("kind < 0").select("instance", "form", "pattern", "n_all")
+    accepted = None
     for _ in range(rounds):
-        if belief is None:
-            scored = open_edges.withColumn("score", F.col("n_seeds") / (F.col("n_all") + 1))
-        else:
-            joined = open_edges.join(belief, ["instance", "p_kind"])
-            gained = joined.groupBy("pattern", "p_kind").agg(F.sum("belief").alias("gained"))
-            scored = open_edges.join(gained, ["pattern", "p_kind"]).withColumn("score", (F.col("n_seeds") + F.col("gained")) / (F.col("n_all") + 1))
+        support, forms = seeds.select("pattern", "p_kind", F.col("n_seeds").alias("n"), F.col("n_seeds").cast("double").alias("weight")), seed_forms
+        if accepted is not None:
+            gained = open_edges.join(accepted.drop("form"), "instance").select("pattern", "p_kind", F.lit(1).cast("long").alias("n"), F.col("belief").alias("weight"))
+            support = support.unionByName(gained).groupBy("pattern", "p_kind").agg(F.sum("n").alias("n"), F.sum("weight").alias("weight"))
+            forms = forms.unionByName(accepted.select("p_kind", "form", "belief"))
+        scored = open_edges.join(support.where(F.col("n") >= min_seeds), "pattern").withColumn("score", F.col("weight") / (F.col("n_all") + 1))
         doubt = F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999))))
-        belief = written(scored.groupBy("instance", "p_kind").agg((1 - F.exp(doubt)).alias("belief"), F.count("*").alias("n_patterns")), "belief").select("instance", "p_kind", "belief", "n_patterns")
-        accepted, belief = belief, belief.drop("n_patterns")
-    accepted = accepted.where((F.col("belief") >= least) & (F.col("n_patterns") >= 2))
+        belief = scored.groupBy("instance", "form", "p_kind").agg((1 - F.exp(doubt)).alias("belief"), F.count("*").alias("n_patterns"))
+        belief = belief.where((F.col("belief") >= least) & (F.col("n_patterns") >= 2)).join(_form_scores(forms), ["p_kind", "form"])
+        accepted = written(belief.where(F.col("form_score") >= least_form).select("instance", "form", "p_kind", "belief"), "accepted")
     return accepted.groupBy("instance").agg(F.max_by(F.col("p_kind"), F.struct("belief", -F.col("p_kind"))).alias("kind"))
 
 
@@ -161,7 +182,7 @@ def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **boo
     rows = docs.select(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.hash(text).alias("tie"), F.arrow_udf(_read, _FOUND_SQL)(text).alias("found"))
     rows = written(rows.select("doc", "tie", "found.base", "found.seen"), "spans")
     seen = rows.select("doc", "tie", F.explode("seen").alias("s")).select("doc", "tie", "s.*")
-    extra = confident(seen.select("instance", "kind", "patterns"), **bootstrap).withColumnRenamed("kind", "new_kind")
+    extra = confident(seen.select("instance", "kind", "form", "patterns"), **bootstrap).withColumnRenamed("kind", "new_kind")
     added = seen.where("kind < 0").join(extra, "instance").select("doc", "tie", F.struct("start", F.col("new_kind").alias("kind"), "end").alias("span"))
     added = added.groupBy("doc", "tie").agg(F.collect_set("span").alias("added"))
     spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:long,kind:int,end:long>>"))))
