@@ -313,6 +313,14 @@ def test_shingle_join(spark):
     assert shingle_join.similar(frame(spark, [])).count() == 0 and shingle_join.one_of_each(frame(spark, [])).count() == 0
 
 
+def test_one_of_each_with_null_and_equal_ids(spark):
+    rng = random.Random(12)
+    texts = [prose(rng, 40) for _ in range(12)]
+    rows = [(None, t) for t in texts[:6]] + [(7, t) for t in texts[6:]] + [(8, texts[0]), (9, texts[7]), (None, texts[1]), (None, ""), (None, None)]
+    kept = [(r["doc_id"], r["text"]) for r in shingle_join.one_of_each(frame(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(None, t) for t in texts[:6]] + [(7, t) for t in texts[6:]] + [(None, ""), (None, None)], key=str)
+
+
 def test_count_tree_drops_no_pair():
     rng = np.random.default_rng(10)
     sizes = rng.integers(5, 60, 400)

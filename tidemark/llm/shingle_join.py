@@ -248,14 +248,15 @@ def _texts(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc, tie, n_shingles, component) of every row; doc is NULL_ID for a null id, tie tells texts with one id apart.
+    """(doc, tie, n_shingles, component, label) of every row; doc is NULL_ID for a null id, tie tells texts with one id apart.
 
-    component is the smallest doc reachable by links, its own included. A null text, or one without
+    component is the smallest doc reachable by links, its own included; label tells apart what isn't
+    reachable, also where ids are null or equal, and is null for an empty set. A null text, or one without
     words, has an empty set and links with nothing; one with fewer than five words has one shingle. Rows
     that repeat, or share an id, are documents of their own.
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    rows = docs.select(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.hash(text).alias("tie"), text.alias("text"))
+    rows = docs.select(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
     spark = docs.sparkSession
     late = frequent(rows)
     order = np.argsort(late)
@@ -284,7 +285,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 names=["doc", "tie", "node", "n", "tokens", "counts", "fine"],
             )
 
-    described_rows = rows.mapInArrow(described, "doc long, tie int, node long, n long, tokens array<long>, counts binary, fine binary")
+    described_rows = rows.mapInArrow(described, "doc long, tie long, node long, n long, tokens array<long>, counts binary, fine binary")
     table = written(described_rows, "sets", compression="zstd")
     firsts = table.where(F.col("tokens").isNotNull())
     classes = firsts.groupBy("node").agg(F.min(F.struct("doc", "tie")).alias("key"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
@@ -318,22 +319,22 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     with_label = written(with_label, "labelled")
     least = written(with_label.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc").alias("component")), "least")
     out = with_label.join(least, "label", "left")
-    return out.select("doc", "tie", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component"))
+    return out.select("doc", "tie", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component"), "label")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one document of each group, the one with the smallest id (of equal ids the least by text hash).
 
-    All columns stay. Rows that repeat as a whole come once; documents without words all stay.
+    All columns stay. Documents without words all stay, but such rows that repeat as a whole come once.
     """
     found = similar(docs, id_col, text_col)
-    kept = found.where((F.col("component") == F.col("doc")) | (F.col("n_shingles") == 0))
-    grouped = kept.where("n_shingles > 0").groupBy("component").agg(F.min("tie").alias("tie")).select(F.col("component").alias("doc"), "tie")
-    keys = grouped.unionByName(kept.where("n_shingles = 0").select("doc", "tie").distinct()).distinct().select(F.struct("doc", "tie").alias("__tm_key"), F.lit(True).alias("__tm_kept"))
+    firsts = found.where("n_shingles > 0").groupBy("label").agg(F.min(F.struct("doc", "tie")).alias("__tm_key")).select("__tm_key", F.lit(False).alias("__tm_empty"))
+    empty = found.where("n_shingles = 0").select(F.struct("doc", "tie").alias("__tm_key"), F.lit(True).alias("__tm_empty")).distinct()
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    keyed = docs.withColumn("__tm_key", F.struct(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.hash(text).alias("tie")))
-    joined = keyed.join(keys, "__tm_key").select(*[F.col(f"`{c}`") for c in docs.columns], "__tm_key")
-    return joined.dropDuplicates(["__tm_key"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.withColumn("__tm_key", F.struct(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.xxhash64(text).alias("tie")))
+    whole = F.when(F.col("__tm_empty"), F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])), 256))
+    joined = keyed.join(firsts.unionByName(empty), "__tm_key").withColumn("__tm_whole", whole)
+    return joined.dropDuplicates(["__tm_key", "__tm_whole"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def public_ids(found: DataFrame) -> DataFrame:
