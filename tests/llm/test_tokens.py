@@ -14,7 +14,7 @@ from tidemark.llm.byte_tokens import byte_tokens
 from tidemark.llm.prefix_bpe import PrefixTable, prefix_tokens
 
 JSON, RANKS = P.path("byte_bpe_50k.json"), P.path("byte_bpe_multi_50k.tiktoken")
-ODD = ["", " ", "  a", "a  b", "foo\n\n  bar \n", "foo\n bar", " don't  stop's x", "é　 　x  ", "a ​ b 12.5, (foo)", "!\x1c!", "<|endoftext|> a", "中文 text", "x" * 5000, "\t\n", "áb", "W!! A?? ok."]
+ODD = ["", " ", "  a", "a  b", "foo\n\n  bar \n", "foo\n bar", " don't  stop's x", "é　 　x  ", "a ​ b 12.5, (foo)", "!\x1c!", "<|endoftext|> a", "中文 text", "x" * 5000, "\t\n", "áb", "W!! A?? ok.", "nul\x00 a  b", "a\n\n\nb \t c\r\nd", " lead\n", "tab\tb\x0bc", "a　 b", "x\u2028 y", "a.\n"]
 texts = st.text(st.sampled_from("ab éñ中 \n\t'.,12!\x1c　x"), max_size=60)
 
 
@@ -44,7 +44,7 @@ def test_odd_texts(library):
 
 def test_memory_forgets_without_harm(library):
     tokens = type(byte_tokens(JSON))(JSON)
-    tokens.words.most = tokens.pieces.most = 3
+    tokens.known.most = 3
     for k in range(6):
         some = [f"word{k} other{k % 2} same same{k}", "same other0"]
         assert [x.tolist() for x in tokens.encode_many(some)] == [library[0].encode(t, add_special_tokens=False).ids for t in some]
@@ -71,6 +71,26 @@ def test_frames_round_trip(lists):
     assert got == names and sizes.tolist() == [len(x) for x in lists] and flat.tolist() == [i for x in lists for i in x]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.one_of(st.integers(0, 9), st.integers(0, 2**32 - 1)), max_size=700))
+def test_a_block_alone(ids):
+    payload = token_blocks.encode_frame([4, 5], [np.array(ids, "<u4"), np.array([7], "<u4")])
+    whole = [*ids, 7]
+    for k in range(-(-len(whole) // 128)):
+        assert token_blocks.decode_block(payload, k).tolist() == whole[128 * k : 128 * k + 128]
+    with pytest.raises(IndexError):
+        token_blocks.decode_block(payload, -(-len(whole) // 128))
+
+
+def test_shortcut_only_for_its_pattern(library):
+    import tiktoken
+
+    other = r"\S+|\s+"
+    plain = tiktoken.Encoding("other", pat_str=other, mergeable_ranks={b: i for b, i in prefix_tokens(RANKS, P.PATTERN).vocabulary.ranks.items()}, special_tokens={})
+    some = ["don't stop. now", "a  b c!\nd", "x y"]
+    assert [x.tolist() for x in prefix_bpe.PrefixTokens(RANKS, other).encode_many(some)] == [plain.encode_ordinary(t) for t in some]
+
+
 def docs(spark, rows):
     return spark.createDataFrame(rows, "doc_id long, text string, start string, ids int, k int")
 

@@ -6,56 +6,61 @@ import functools
 
 import numpy as np
 
-from .units import PieceIds, u32
+from .units import ASCII_WHITE, WIDE_WHITE, WordIds, by_size
 
+#: Characters that are given to the library at once; it is slower with longer texts.
+CALL = 1 << 13
+_WHITE = frozenset(ASCII_WHITE + WIDE_WHITE)
 
-def _shown() -> dict[int, str]:
-    """The printable characters by which byte-level vocabularies write bytes."""
-    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-    moved = [b for b in range(256) if b not in plain]
-    return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(moved)}
 
+def _shown(white: str) -> str:
+    """How byte-level vocabularies write a character of one byte that can't be printed."""
+    return chr(256 + ord(white)) if ord(white) <= 32 else white
 
-class ByteTokens(PieceIds):
+
+class ByteTokens(WordIds):
     """Ids as Tokenizer.encode(text, add_special_tokens=False) gives them.
 
-    New pieces that begin with a space are encoded by the library as one joined text, the others
-    one by one by its BPE model. A text that holds the string of a special token is encoded whole.
+    New units are encoded by the library as one joined text, in which a token that begins with white
+    space begins a unit; a line feed stands before a unit without white space. Pieces of white space
+    alone are encoded one by one. A text that holds the string of a special token is encoded whole.
     """
 
-    def __init__(self, path: str):
-        import public_tokenizers
+    def __init__(self, path: str, most: int = 300_000):
+        import os
+
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a worker has one core
         from tokenizers import Tokenizer
 
-        super().__init__(public_tokenizers.PATTERN)
-        self.whole = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.shown = _shown()
-        vocabulary = self.whole.get_vocab()
+        super().__init__(True, most)
+        self.library = Tokenizer.from_file(path)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        vocabulary, white = self.library.get_vocab(), tuple(map(_shown, ASCII_WHITE))
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.opens[[i for token, i in vocabulary.items() if token.startswith(self.shown[32])]] = True
-
-    def new_pieces(self, pieces: list[str]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(pieces)
-        joined = [k for k, p in enumerate(pieces) if p[0] == " " and p.find(" ", 1) < 0 and not p[-1].isspace()]
-        if joined:
-            ids = np.array(self.whole.encode_batch_fast(["".join([pieces[k] for k in joined])], add_special_tokens=False)[0].ids, dtype="<u4")
-            ends = np.append(np.flatnonzero(self.opens[ids])[1:], len(ids)).tolist()
-            raw, at = ids.tobytes(), 0
-            for k, end in zip(joined, ends, strict=True):
-                out[k] = raw[4 * at : 4 * end]
-                at = end
-        rest = set(range(len(pieces))).difference(joined)
-        for k in rest:
-            shown = pieces[k].encode().decode("latin-1").translate(self.shown)
-            out[k] = u32(t.id for t in self.whole.model.tokenize(shown))
-        return out
+        self.opens[[i for token, i in vocabulary.items() if token.startswith(white)]] = True
+
+    def splits(self, text: str) -> bool:
+        return super().splits(text) and not any(s in text for s in self.special)
+
+    def text_ids(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+    def _joined(self, words: list[str]) -> list[bytes]:
+        """Ids of words that begin with a white space of one byte, end otherwise and hold no other one."""
+        ids = self.text_ids("".join(words))
+        starts = np.flatnonzero(self.opens[ids]).tolist()
+        raw = ids.tobytes()
+        return [raw[4 * a : 4 * b] for a, b, _ in zip(starts, [*starts[1:], len(ids)], words, strict=True)]
 
-    def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        marked = [k for k, x in enumerate(texts) if any(s in x for s in self.special)]
-        out = super().encode_many([x for k, x in enumerate(texts) if k not in marked] if marked else texts)
-        for k in marked:
-            out.insert(k, np.array(self.whole.encode(texts[k], add_special_tokens=False).ids, dtype="<u4"))
+    def new_units(self, units: list[str]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(units)
+        words = [k for k, u in enumerate(units) if u[-1] not in _WHITE]
+        bare = [units[k][0] not in _WHITE for k in words]
+        some = by_size(["\n" + units[k] if b else units[k] for k, b in zip(words, bare)], CALL)
+        for k, b, x in zip(words, bare, (x for part in some for x in self._joined(part))):
+            out[k] = x[4:] if b else x
+        for k in set(range(len(units))).difference(words):
+            out[k] = self.text_ids(units[k]).tobytes()
         return out
 
 

@@ -147,7 +147,7 @@ class PrefixTokens(PieceIds):
     """Ids of texts, each match of the pattern encoded separately."""
 
     def __init__(self, path: str, pattern: str):
-        super().__init__(pattern, words=350_000, pieces=250_000)
+        super().__init__(pattern, most=350_000, pieces=250_000)
         self.vocabulary = Vocabulary.read(path)
         self.decimal = [str(i) for i in range(len(self.vocabulary.sizes))]
 

@@ -29,6 +29,8 @@ from .byte_tokens import byte_tokens
 from .units import by_size
 
 MAGIC, BLOCK, PERCENTILE, FRAME = b"TMB1", 128, 0.9, 1 << 18
+#: An index entry: minimum, width, start of the packed words, end of the exceptions.
+INDEX = np.dtype([("low", "<u4"), ("width", "u1"), ("start", "<u4"), ("end", "<u4")])
 FRAME_SCHEMA = "shard int, frame int, shard_start long, n_docs int, n_ids long, payload binary"
 
 
@@ -78,7 +80,7 @@ def encode_frame(doc_ids: list[int | None], ids: list[np.ndarray]) -> bytes:
         own = np.flatnonzero(widths == w)
         span = w * (BLOCK // 64)
         words[(starts[own].astype("i8")[:, None] + np.arange(span)).ravel()] = _packed(kept[own].reshape(-1, 64), w).ravel()
-    index = np.empty(n, dtype=[("low", "<u4"), ("width", "u1"), ("start", "<u4"), ("end", "<u4")])
+    index = np.empty(n, INDEX)
     index["low"], index["width"], index["start"], index["end"] = low, widths, starts, np.searchsorted(rows, np.arange(n), "right")
     return b"".join((
         MAGIC, struct.pack("<4I", len(doc_ids), len(flat), n, len(rows)),
@@ -101,7 +103,7 @@ def decode_frame(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarr
         return out
 
     docs, null, sizes = take(n_docs, "<i8"), take(n_docs, "u1"), take(n_docs, "<u4")
-    index = take(n, [("low", "<u4"), ("width", "u1"), ("start", "<u4"), ("end", "<u4")])
+    index = take(n, INDEX)
     widths = index["width"]
     words = take(int(widths.sum(dtype="<u4")) * (BLOCK // 64), "<u8")
     places, high = take(n_patches, "u1"), take(n_patches, "<u4")
@@ -117,11 +119,33 @@ def decode_frame(payload: bytes) -> tuple[list[int | None], np.ndarray, np.ndarr
     return [None if z else d for d, z in zip(docs.tolist(), null.tolist())], sizes, flat
 
 
+def decode_block(payload: bytes, k: int) -> np.ndarray:
+    """The ids of block k alone, as uint32: only its index entry, its packed words and its exceptions are unpacked."""
+    if payload[:4] != MAGIC:
+        raise ValueError("not a token frame")
+    n_docs, n_ids, n, n_patches = struct.unpack_from("<4I", payload, 4)
+    if not 0 <= k < n:
+        raise IndexError(k)
+    at = 20 + 13 * n_docs
+    index = np.frombuffer(payload, INDEX, n, at)
+    low, width, start, end = (int(x) for x in index[k].tolist())
+    at += index.nbytes
+    n_words = int(index["start"][-1]) + int(index["width"][-1]) * (BLOCK // 64)
+    values = _unpacked(np.frombuffer(payload, "<u8", width * (BLOCK // 64), at + 8 * start).reshape(-1, width), width).ravel()
+    at += 8 * n_words
+    first = int(index["end"][k - 1]) if k else 0
+    places = np.frombuffer(payload, "u1", end - first, at + first)
+    high = np.frombuffer(payload, "<u4", end - first, at + n_patches + 4 * first)
+    values[places] |= high.astype("<u8") << np.uint64(width)
+    return (values + np.uint64(low)).astype("<u4")[: n_ids - k * BLOCK]
+
+
 def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int | None = 2, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Encodes every whole text (null: empty) by the tokenizers file and writes the store.
 
     end_id, if any, follows the ids of each document. The rows are dealt by id ranges, so a
-    shard is a range of ids and shards ascend; a hot source or group of copies spreads over all.
+    shard is a range of ids and shards ascend; a hot source or group of copies spreads over all, and
+    rows of one id, or without one, are dealt by how their texts begin.
     Each task writes its shard through Spark's committer, so a lost task is simply run again.
     Repeated ids are kept as documents of their own; an empty table gives a store without frames.
     """
@@ -148,7 +172,8 @@ def write_token_store(docs: DataFrame, path: str, tokenizer: str, end_id: int |
         if names:
             yield row()
 
-    rows = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # beginnings of texts part the rows of a hot id, or of null ids
+    rows = id_and_text(docs, id_col, text_col).repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
     rows.mapInArrow(frames, FRAME_SCHEMA).write.option("compression", "none").parquet(path)
 
 
