@@ -321,42 +321,116 @@ def test_one_of_each_with_null_and_equal_ids(spark):
     assert sorted(kept, key=str) == sorted([(None, t) for t in texts[:6]] + [(7, t) for t in texts[6:]] + [(None, ""), (None, None)], key=str)
 
 
-def test_count_tree_drops_no_pair():
+def near_set(rng, a, n=1 << 60):
+    return np.unique(np.concatenate([a[rng.random(len(a)) < 0.93], rng.integers(0, n, rng.integers(0, 2 + len(a) // 12)).astype("u8")]))
+
+
+def test_linked_sets_share_a_slice():
+    rng = np.random.default_rng(11)
+    found = 0
+    for _ in range(3000):
+        a = np.unique(rng.integers(0, 1 << 60, rng.integers(1, 300 if rng.random() < 0.3 else 30))).astype("u8")
+        b = near_set(rng, a)
+        if len(b) and shingle_join.linked(a, b) and a.tolist() != b.tolist():
+            found += 1
+            assert set(shingle_join.slices(a).tolist()) & set(shingle_join.slices(b).tolist())
+    assert found > 500
+
+
+def test_sets_that_no_way_of_dealing_suits(monkeypatch):
+    """Even without a way of dealing they share the slice that is for them."""
+    monkeypatch.setattr(shingle_join, "DEALS", 0)
+    rng = np.random.default_rng(12)
+    a = np.unique(rng.integers(0, 1 << 60, 50)).astype("u8")
+    assert set(shingle_join.slices(a).tolist()) & set(shingle_join.slices(a[1:]).tolist())
+
+
+def pairs_of(trees, left, right):
+    out = []
+    for x, y in trees.pairs(np.array(left), np.array(right)):
+        out += list(zip(x.tolist(), y.tolist()))
+    assert len(out) == len(set(out))
+    return {(min(p), max(p)) for p in out}
+
+
+def test_count_trees_drop_no_pair():
     rng = np.random.default_rng(10)
-    sizes = rng.integers(5, 60, 400)
-    points = np.stack([np.bincount(rng.integers(0, 64, n), minlength=64) for n in sizes])
-    tree = shingle_join.CountTree(points, sizes)
-    for q in range(0, 400, 7):
-        bound = 9 * np.minimum(points, points[q]).sum(1) >= 4 * (sizes + sizes[q])
-        assert sorted(tree.reach(points[q], int(sizes[q])).tolist()) == np.flatnonzero(bound).tolist()
+    sizes = rng.integers(5, 60, 700)
+    points = np.stack([np.bincount(rng.integers(0, 16, n), minlength=16) for n in sizes]).astype("u1")
+    segment, comp, rest = np.sort(rng.integers(0, 4, 700)), rng.integers(0, 30, 700), rng.integers(0, 3, 700)
+    trees = shingle_join.CountTrees(segment, sizes, comp, points, rest)
 
+    def wanted(i, j):
+        bound = 9 * (np.minimum(points[i], points[j]).sum(dtype=int) + min(rest[i], rest[j])) >= 4 * (sizes[i] + sizes[j])
+        return bound and comp[i] != comp[j] and 10 * min(sizes[i], sizes[j]) >= 8 * max(sizes[i], sizes[j])
 
-def test_pair_bound_drops_no_link(spark):
-    """Counts in unequal numbers of groups are compared in the fewer ones."""
-    rng = np.random.default_rng(15)
-    rows, links = [], set()
-    sets = [np.unique(rng.integers(0, 1 << 40, n)).astype("u8") for n in (500, 530, 600, 900)]
-    for s in list(sets):
-        sets.append(np.unique(np.concatenate([s[rng.random(len(s)) < 0.95], rng.integers(0, 1 << 40, 5).astype("u8")])))
-    for k, s in enumerate(sets):
-        count = lambda g, s=s: np.bincount((s % np.uint64(g)).astype("i8"), minlength=g).astype("<u4").tobytes()
-        rows.append((k, len(s), bytearray(count(shingle_join.GROUPS)), bytearray(count(shingle_join.FINE)) if len(s) > shingle_join.LONG else None))
-    pairs = [(a, b) for a in range(8) for b in range(a + 1, 8)]
-    links = {(a, b) for a, b in pairs if shingle_join.linked(sets[a], sets[b])}
-    classes = spark.createDataFrame(rows, "node long, n long, counts binary, fine binary")
-    got = {tuple(r) for r in shingle_join._bounded(spark.createDataFrame(pairs, "a long, b long"), classes).collect()}
-    assert links == {(k, k + 4) for k in range(4)} and links <= got
+    rows = [np.flatnonzero(segment == k).tolist() for k in range(4)]
+    roots = trees.root(np.arange(4))
+    assert pairs_of(trees, [roots[0]], [roots[0]]) == {(i, j) for i in rows[0] for j in rows[0] if i < j and wanted(i, j)}
+    assert pairs_of(trees, [roots[1]], [roots[2]]) == {(min(i, j), max(i, j)) for i in rows[1] for j in rows[2] if wanted(i, j)}
+    assert trees.visited > 0
 
 
-def test_prefix_shares_a_shingle():
-    rng = np.random.default_rng(11)
-    late = np.sort(rng.choice(4000, 500, replace=False)).astype("u8")
-    rank = rng.permutation(500)
-    for _ in range(300):
-        a = np.unique(rng.integers(0, 4000, rng.integers(1, 60))).astype("u8")
-        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.93], rng.integers(0, 4000, rng.integers(0, 4)).astype("u8")]))
-        if shingle_join.linked(a, b):
-            assert set(shingle_join.prefix(a, late, rank).tolist()) & set(shingle_join.prefix(b, late, rank).tolist())
+def test_points_bound_the_overlap():
+    """Also folded to fewer groups, and with counts beyond what a byte holds."""
+    rng = np.random.default_rng(15)
+    for n in (30, 700, 3000):
+        a = np.unique(rng.integers(0, 1 << 40, n)).astype("u8")
+        a = a if n < 3000 else a * np.uint64(4096)  # all in one group
+        b = near_set(rng, a)
+        raw, size = [shingle_join.point(x).tobytes() for x in (a, b)], np.array([len(a), len(b)])
+        for groups in (16, min(map(len, raw))):
+            counts, rest = shingle_join._points(raw, size, groups)
+            assert np.minimum(*counts).sum(dtype=int) + rest.min() >= len(np.intersect1d(a, b))
+
+
+def test_trees_over_the_documents():
+    """The trees of all top nodes, over a whole table, let every link between different texts pass."""
+    import pyarrow.parquet as pq
+
+    texts = set(pq.read_table("/root/testdata/sf0.001/documents.parquet")["text"].to_pylist()) - {None}
+    sets = {s.tobytes(): s for s in map(shingle_join.shingles, texts) if len(s)}.values()
+    sets = list(sets)
+    tops = {}
+    for k, s in enumerate(sets):
+        for sig in shingle_join.slices(s).tolist():
+            tops.setdefault(sig, []).append(k)
+    found, visited = set(), 0
+    for members in tops.values():
+        if len(members) > 1:
+            raw, size = [shingle_join.point(sets[k]).tobytes() for k in members], np.array([len(sets[k]) for k in members])
+            points, rest = shingle_join._points(raw, size, min(map(len, raw)))
+            trees = shingle_join.CountTrees(np.zeros(len(members), int), size, np.array(members), points, rest)
+            found |= {tuple(sorted((members[a], members[b]))) for a, b in pairs_of(trees, [0], [0])}
+            visited += trees.visited
+    links = {(i, j) for i in range(len(sets)) for j in range(i + 1, len(sets)) if shingle_join.linked(sets[i], sets[j])}
+    assert links and links <= found and visited > 0 and len(found) <= 2 * len(links)
+
+
+def test_many_that_share_a_passage(spark):
+    """500 documents share half of their words; only those in pairs are linked."""
+    rng = random.Random(14)
+    shared, rows = prose(rng, 30), []
+    for k in range(250):
+        own = prose(rng, 30).split()
+        rows += [(2 * k, " ".join([*own, shared])), (2 * k + 1, " ".join([own[0] + "x", *own[1:], shared]))]
+    got = {r["doc_id"]: r["component_id"] for r in shingle_join.public_ids(shingle_join.similar(frame(spark, rows))).collect()}
+    assert got == {k: k - k % 2 for k in range(500)}
+
+
+def test_large_group_of_near_copies_over_tiles(spark, monkeypatch):
+    """A star of copies that are linked by way of one text, more than a tile holds, beside pairs that only a tree brings together."""
+    rng = random.Random(16)
+    base, rows = prose(rng, 100).split(), []
+    for k in range(60):
+        copy = list(base)
+        for at in rng.sample(range(100), 3):
+            copy[at] = f"w{rng.random()}"
+        rows.append((k, " ".join(copy)))
+    rows.append((100, " ".join(base)))
+    monkeypatch.setattr(shingle_join, "TILE", 16)
+    got = shingle_join.public_ids(shingle_join.similar(frame(spark, rows))).collect()
+    assert sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got) == brute_shingles(rows)
 
 
 def test_components(spark):

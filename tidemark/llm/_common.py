@@ -54,17 +54,31 @@ def _remove_all() -> None:
             return
 
 
-def written(df: DataFrame, name: str, **options: str) -> DataFrame:
-    """df as a table in the shared folder: computed once, and not lost with an executor.
+#: With it, shuffle files go when the query that made them ends, not when the driver collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    The shuffle files that led to it are of no more use. Spark's cleaner drops them when the driver's
-    JVM collects its garbage, which a small driver does rarely, so that is asked for here.
-    """
+
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """df as a table in the shared folder: computed once, and not lost with an executor."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.options(**options).parquet(path)
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    path, before = scratch_path(spark, name), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.tm_path = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes tables of written() that nothing reads any more."""
+    for t in tables:
+        _remove(t.sparkSession, t.tm_path)
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import written
+from ._common import dropped, written
 
 #: Edges that a task takes together to replace them by as few.
 LOCAL_EDGES = 1 << 19
@@ -68,14 +68,17 @@ def components(edges: DataFrame) -> DataFrame:
         while True:
             above = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
             jumped = written(hooks.join(above, "up").select("node", F.col("top").alias("up"), (F.col("top") != F.col("up")).alias("moved")), "hooks")
-            hooks = jumped.select("node", "up")
+            dropped(hooks)
+            hooks = jumped
             if jumped.where("moved").isEmpty():
                 break
         by_label = hooks.select(F.col("node").alias("label"), "up")
         labels = written(labels.join(by_label, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")
         a, b = (hooks.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up")) for c in "ab")
         rest = edges.join(a, "a").join(b, "b").where("a_up <> b_up").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
-        edges = written(rest.distinct().mapInArrow(_thinned, "a long, b long"), "edges")
+        fewer = written(rest.distinct().mapInArrow(_thinned, "a long, b long"), "edges")
+        dropped(edges, hooks)
+        edges = fewer
     return labels
 
 

@@ -1,14 +1,18 @@
 """Documents whose sets of five-word shingles have a Jaccard similarity of at least 0.8.
 
-The similarity bounds how many shingles two linked sets lack of each other, so in any fixed order of
-all shingles their first fifths share one: documents meet in the block of such a shingle. The order
-has frequent shingles last. Within a block, documents are points: the counts of their shingles in
-64 hash groups. An R-tree over the points drops pairs for which the summed minima of the counts,
-which bound the overlap, are too small. Remaining pairs are verified on whole texts.
-
-Equal sets are one class. In a block each class is first verified against the block's least one, so
-large groups of near copies hang together after one step; thereafter only pairs of classes that
-aren't yet connected are looked at. No pair is given up: what is skipped is connected already.
+A set is a point: shingles are hashed to groups, and the point has the count of each group. Linked
+sets differ in at most a ninth of their summed sizes, and so do their points. The points of a band of
+sizes are indexed by R-trees. Their coordinates are dealt into slices, more than linked points can
+differ in, so such points agree in all counts of some slice: each slice has a tree of its own, whose
+top nodes are the boxes without extent in the slice's coordinates. These are found by one shuffle.
+Below, a node's box is bulk-loaded in order of size and leading counts, and two trees' nodes are
+descended in pairs while the summed minima of their upper bounds, which bound the overlap, allow a link.
+For the boxes below the top, counts are folded to about as many groups as half the set's size, so that
+long sets part as well as short ones. Pairs of points that survive are verified on whole texts.
+
+Equal sets are one class. In each top node, classes are first verified against the one that most top nodes
+share, so large groups of near copies hang together after one step; thereafter only pairs of classes
+that aren't connected yet are looked at. No pair is given up: what is skipped is connected already.
 """
 
 from __future__ import annotations
@@ -19,17 +23,28 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ._common import NULL_ID, order_id, written
+from ._common import NULL_ID, dropped, order_id, written
 from .graph import Forest, components, unique_in_task
 
-WORDS, GROUPS, LEAF, TILE = 5, 64, 16, 2048
-#: Sets of more shingles than this are counted in more groups as well, as a few groups tell long sets apart badly.
-LONG, FINE = 512, 1024
-#: Frequent shingles that are put last at most. Which ones changes no result, only the blocks' sizes.
-FREQUENT = 1 << 18
+WORDS, LEAF, TILE = 5, 16, 2048
+#: Least and most groups of a stored point.
+FEW, MANY = 16, 4096
+#: Ways of dealing coordinates to slices; a further one serves sets that leave too many slices empty.
+DEALS = 8
 _M = [np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5)]
 
 
+def _bands() -> np.ndarray:
+    """The least sizes of bands, each about half as much again as the one before."""
+    out = [1]
+    while out[-1] < 1 << 40:
+        out.append(max(out[-1] + 1, out[-1] * 3 // 2))
+    return np.array(out)
+
+
+BANDS = _bands()
+
+
 def shingles(text: str) -> np.ndarray:
     """Sorted distinct 64-bit hashes: A-Z lower-cased, words parted by ASCII white space."""
     words = text.encode().lower().split()
@@ -54,165 +69,197 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= 80 * (len(a) + len(b) - common)
 
 
-def frequent(docs: DataFrame) -> np.ndarray:
-    """Shingles seen often within tasks' blocks, the rarest first; a bounded list that serves the order only."""
+def _mixed(x: np.ndarray, k: int) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(31))) * _M[k % len(_M)]
+    x ^= x >> np.uint64(29)
+    return x * _M[(k + 1) % len(_M)]
 
-    def counted(batches):
-        held, size, n = [], 0, 0
 
-        def often():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            kept = counts >= max(4, n // 1000)
-            return pa.RecordBatch.from_arrays([pa.array(values[kept].view("i8")), pa.array(counts[kept].astype("i8"))], names=["shingle", "n"])
+def slices(own: np.ndarray) -> np.ndarray:
+    """Digests of the point's slices: of its band, and of the next one if that has sets it may be linked with.
 
-        for batch in batches:
-            for text in batch["text"]:
-                held.append(shingles(text.as_py() or ""))
-                size, n = size + len(held[-1]), n + 1
-                if size >= 1 << 22:
-                    yield often()
-                    held, size, n = [], 0, 0
-        if size:
-            yield often()
-
-    found = docs.select("text").mapInArrow(counted, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
-    rows = found.orderBy(F.desc("n"), "shingle").limit(FREQUENT).toPandas()
-    return rows["shingle"].to_numpy("i8").view("u8")[::-1].copy()
-
-
-def prefix(own: np.ndarray, late: np.ndarray, late_rank: np.ndarray) -> np.ndarray:
-    """The first shingles in the order, as many as a linked set must share one of."""
-    n = len(own) - -(-4 * len(own) // 5) + 1
-    if not len(late):
-        return own[:n]
-    at = np.minimum(np.searchsorted(late, own), len(late) - 1)
-    is_late = late[at] == own
-    early = own[~is_late]
-    if len(early) >= n:
-        return early[:n]
-    rest = own[is_late][np.argsort(late_rank[at[is_late]], kind="stable")]
-    return np.concatenate([early, rest])[:n]
-
-
-class CountTree:
-    """An R-tree, bulk-loaded in order of size and leading counts, over points of group counts."""
-
-    def __init__(self, points: np.ndarray, sizes: np.ndarray):
-        self.points, self.sizes = points, sizes
-        self.order = np.lexsort((*points.T[3::-1], sizes))
-        tops, least = points[self.order], sizes[self.order]
-        self.levels = []
-        while True:
-            heads = np.arange(0, len(least), LEAF)
-            width = len(least)
-            tops, least = np.maximum.reduceat(tops, heads, axis=0), np.minimum.reduceat(least, heads)
-            self.levels.append((tops, least, width))
-            if len(least) <= 1:
+    In a band sets differ by at most `most` shingles, so of `k` slices k - most or more are equal. Slices
+    that are empty in both are no meeting place, so where a set leaves that many empty, it is
+    dealt in another way as well; a set that no way suits has one slice more, which all such sets share.
+    """
+    n = len(own)
+    out = []
+    band = int(np.searchsorted(BANDS, n, "right")) - 1
+    for b in (band, band + 1):
+        if b > band and 10 * n < 8 * BANDS[b]:
+            continue
+        top = int(BANDS[b + 1]) - 1
+        far = (n + min(top, 10 * n // 8)) // 9  # shingles in one of the two sets only
+        if not far:
+            continue
+        most = 2 * top // 9
+        k = most + 1 + max(2, most // 8)
+        for deal in range(DEALS):
+            at = _mixed(own, deal)
+            slot = ((at >> np.uint64(32)) * np.uint64(k)) >> np.uint64(32)
+            order = np.argsort(slot, kind="stable")
+            slot, group = slot[order], at[order]
+            heads = np.flatnonzero(np.append(True, slot[1:] != slot[:-1]))
+            # the sum does not depend on the order of the groups
+            sums = np.add.reduceat(_mixed(group, deal + 2), heads)
+            out.append(_mixed(sums ^ _mixed(slot[heads] + np.uint64((b * DEALS + deal) << 40), 1), 3))
+            if k - len(heads) < k - far:
                 break
+        else:
+            out.append(_mixed(np.array([b], "u8"), 4))
+    return np.concatenate(out) if out else np.zeros(0, "u8")
+
 
-    def reach(self, point: np.ndarray, size: int) -> np.ndarray:
-        """Places of all points whose bound allows the similarity."""
-        nodes = np.zeros(1, int)
-        for tops, least, width in reversed(self.levels):
-            nodes = nodes[9 * np.minimum(tops[nodes], point).sum(1) >= 4 * (size + least[nodes])]
-            nodes = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
-            nodes = nodes[nodes < width]
-        at = self.order[nodes]
-        return at[9 * np.minimum(self.points[at], point).sum(1) >= 4 * (size + self.sizes[at])]
+def point(own: np.ndarray) -> np.ndarray:
+    """Counts of the set's groups, at most 255 each; what they lack of the set's size is the rest."""
+    groups = min(MANY, max(FEW, 1 << (max(1, len(own) // 2) - 1).bit_length()))
+    return np.minimum(np.bincount((own % np.uint64(groups)).astype("i8"), minlength=groups), 255).astype("u1")
 
 
-#: Blocks up to this size are compared as one leaf, without a tree above it.
-ONE_LEAF = 32
+def _points(raw: list[bytes], size: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """Points in `groups` groups, and the rest of each."""
+    width = np.fromiter(map(len, raw), "i8", len(raw))
+    out = np.empty((len(raw), groups), "u1")
+    for w in np.unique(width).tolist():
+        own = np.flatnonzero(width == w)
+        counts = np.frombuffer(b"".join([raw[k] for k in own]), "u1").reshape(len(own), -1, groups)
+        out[own] = counts[:, 0] if w == groups else np.minimum(counts.sum(1, dtype="u4"), 255)
+    return out, size - out.sum(1, dtype="i8")
 
 
-def _tree_pairs(key, node, comp, size, points, tile):
-    """Pairs of one large block, of tiles key[1] and key[2], by a tree over its points."""
-    tree = CountTree(points, size)
-    for q in np.flatnonzero(tile == key[2]).tolist():
-        near = tree.reach(points[q], int(size[q]))
-        own = (tile[near] == key[1]) if key[1] != key[2] else (node[near] < node[q])
-        near = near[own & (comp[near] != comp[q])]
-        yield np.minimum(node[near], node[q]), np.maximum(node[near], node[q])
+def _may_link(a: np.ndarray, b: np.ndarray, rests: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Whether the summed minima of upper bounds of counts allow a similarity of 0.8 for sets of these summed sizes."""
+    out = np.empty(len(a), bool)
+    step = max(1, (1 << 22) // max(1, a.shape[1]))
+    for k in range(0, len(a), step):
+        part = slice(k, k + step)
+        out[part] = 9 * (np.minimum(a[part], b[part]).sum(1, dtype="i8") + rests[part]) >= 4 * sizes[part]
+    return out
 
 
-def _block_pairs(batches):
-    """Pairs (a, b) of classes of different components that pass the bound; rows come block by block.
+class CountTrees:
+    """R-trees over points, one for each segment of the rows, all of one height.
 
-    Small blocks are compared all at once, a pair that several of them hold once.
+    A node's box is known by the greatest counts and rest, and the least and greatest size, of its points.
     """
-    names = ("token", "i", "j", "node", "comp", "n", "tile")
-    held, held_points = None, None
-
-    def pairs(rows, points):
-        token, i, j, node, comp, n, tile = rows
-        heads = np.flatnonzero(np.append(True, (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
-        ends = np.append(heads[1:], len(token))
-        block = np.repeat(np.arange(len(heads)), ends - heads)
-        small = (ends - heads <= ONE_LEAF)[block]
-        left, right = [], []
-        for step in range(1, min(ONE_LEAF, len(token))):
-            at = np.flatnonzero((block[step:] == block[:-step]) & small[step:] & (comp[step:] != comp[:-step]))
-            left.append(at)
-            right.append(at + step)
-        if left:
-            x, y = np.concatenate(left), np.concatenate(right)
-            a, b = np.minimum(node[x], node[y]), np.maximum(node[x], node[y])
-            order = np.lexsort((b, a))
-            new = np.append(True, (a[order][1:] != a[order][:-1]) | (b[order][1:] != b[order][:-1])) if len(order) else np.zeros(0, bool)
-            once = order[new]
-            for k in range(0, len(once), 1 << 14):
-                part = once[k : k + (1 << 14)]
-                ok = 9 * np.minimum(points[x[part]], points[y[part]]).sum(1) >= 4 * (n[x[part]] + n[y[part]])
-                yield a[part][ok], b[part][ok]
-        for k in np.flatnonzero(ends - heads > ONE_LEAF).tolist():
-            own = slice(heads[k], ends[k])
-            yield from _tree_pairs((token[heads[k]], i[heads[k]], j[heads[k]]), node[own], comp[own], n[own], points[own], tile[own])
-
-    def batch_of(found):
-        found = [f for f in found if len(f[0])]
-        if found:
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[k] for f in found])) for k in (0, 1)], names=["a", "b"])
+
+    def __init__(self, segment: np.ndarray, size: np.ndarray, comp: np.ndarray, points: np.ndarray, rest: np.ndarray):
+        self.order = np.lexsort((*points.T[3::-1], size, segment))
+        level = [segment[self.order], points[self.order], rest[self.order], size[self.order], size[self.order], comp[self.order], comp[self.order]]
+        self.levels, self.children = [level], []
+        #: How many pairs of nodes or points were looked at.
+        self.visited = 0
+        while True:
+            seg = level[0]
+            heads = np.flatnonzero(np.append(True, seg[1:] != seg[:-1])) if len(seg) else np.zeros(0, int)
+            within = np.arange(len(seg)) - np.repeat(heads, np.diff(np.append(heads, len(seg))))
+            starts = np.flatnonzero(within % LEAF == 0)
+            _, tops, rests, least, most, low, high = level
+            up = [np.maximum.reduceat(tops, starts), np.maximum.reduceat(rests, starts), np.minimum.reduceat(least, starts), np.maximum.reduceat(most, starts), np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts)] if len(starts) else level[1:]
+            level = [seg[starts], *up]
+            self.levels.append(level)
+            self.children.append((starts, np.append(starts[1:], len(seg))))
+            if len(starts) == len(heads):
+                break
+
+    def root(self, segments: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.levels[-1][0], segments)
+
+    def _open(self, level: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        _, tops, rests, least, most, low, high = self.levels[level]
+        self.visited += len(x)
+        ok = (10 * most[x] >= 8 * least[y]) & (10 * most[y] >= 8 * least[x])
+        ok &= (low[x] != high[x]) | (low[y] != high[y]) | (low[x] != low[y])
+        at = np.flatnonzero(ok)
+        step = max(1, (1 << 22) // max(1, tops.shape[1]))
+        for k in range(0, len(at), step):
+            part = at[k : k + step]
+            a, b = x[part], y[part]
+            ok[part] = _may_link(tops[a], tops[b], np.minimum(rests[a], rests[b]), least[a] + least[b])
+        return ok
+
+    def pairs(self, x: np.ndarray, y: np.ndarray, most: int = 1 << 11):
+        """Places of rows (a, b) of different components below the pairs of roots (x, y) whose bound allows a link."""
+        todo = [(len(self.children), x, y)]
+        while todo:
+            level, x, y = todo.pop()
+            if len(x) > most and level:
+                todo += [(level, x[k : k + most], y[k : k + most]) for k in range(0, len(x), most)]
+                continue
+            ok = self._open(level, x, y)
+            x, y = x[ok], y[ok]
+            if not len(x):
+                continue
+            if not level:
+                yield self.order[x], self.order[y]
+                continue
+            starts, ends = self.children[level - 1]
+            wide, high = ends[x] - starts[x], ends[y] - starts[y]
+            n = wide * high
+            owner = np.repeat(np.arange(len(x)), n)
+            nth = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+            below_x, below_y = starts[x][owner] + nth // high[owner], starts[y][owner] + nth % high[owner]
+            # a node with itself: each pair of its children once; a point not with itself
+            once = (x != y)[owner] | ((below_x < below_y) if level == 1 else (below_x <= below_y))
+            todo.append((level - 1, below_x[once], below_y[once]))
+
+
+def _node_pairs(batches):
+    """Pairs (a, b) of classes of different components that the trees let pass; rows come top node by top node."""
+    names = ("sig", "i", "j", "tile", "node", "comp", "n")
+    held, held_raw = None, []
+
+    def pairs(rows, raw):
+        sig, i, j, tile, node, comp, n = rows
+        heads = np.flatnonzero(np.append(True, (sig[1:] != sig[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])))
+        group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(sig))))
+        width = np.minimum.reduceat(np.fromiter(map(len, raw), "i8", len(raw)), heads)
+        for w in np.unique(width).tolist():
+            own = np.flatnonzero(width[group] == w)
+            points, rest = _points([raw[k] for k in own], n[own], w)
+            trees = CountTrees(2 * group[own] + (tile[own] != i[own]), n[own], comp[own], points, rest)
+            here = np.unique(group[own])
+            left = trees.root(2 * here)
+            right = np.where(i[heads[here]] == j[heads[here]], left, trees.root(2 * here + 1))
+            for x, y in trees.pairs(left, right):
+                a, b = node[own[x]], node[own[y]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     for batch in batches:
-        rows = [batch[c].to_numpy().astype("i8") for c in names]
-        points = np.frombuffer(b"".join(batch["counts"].to_pylist()), "<u4").reshape(-1, GROUPS).astype("i8")
+        if not batch.num_rows:
+            continue
+        rows, raw = [batch[c].to_numpy().astype("i8") for c in names], batch["counts"].to_pylist()
         if held is not None:
-            rows, points = [np.concatenate(x) for x in zip(held, rows)], np.concatenate([held_points, points])
-        # the last block may go on in the next batch
+            rows, raw = [np.concatenate(x) for x in zip(held, rows)], held_raw + raw
+        # the last top node may go on in the next batch
         last = (rows[0] == rows[0][-1]) & (rows[1] == rows[1][-1]) & (rows[2] == rows[2][-1])
-        held, held_points = [r[last] for r in rows], points[last]
-        if (out := batch_of(pairs([r[~last] for r in rows], points[~last]) if not last.all() else [])) is not None:
-            yield out
-    if held is not None and (out := batch_of(pairs(held, held_points))) is not None:
-        yield out
-
-
-def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
-    """Counts in fewer groups; both numbers are powers of two."""
-    return counts.reshape(len(counts), -1, groups).sum(1)
+        n = int(np.argmax(last))
+        if n:
+            yield from pairs([r[:n] for r in rows], raw[:n])
+        held, held_raw = [r[n:] for r in rows], raw[n:]
+    if held is not None:
+        yield from pairs(held, held_raw)
 
 
 def _allowed(batches):
-    """Pairs whose counts, in as many groups as both have, allow the similarity."""
+    """Pairs of points whose bound allows a link."""
     for batch in batches:
-        sizes = batch["a_n"].to_numpy() + batch["b_n"].to_numpy()
+        a_n, b_n = batch["a_n"].to_numpy().astype("i8"), batch["b_n"].to_numpy().astype("i8")
         raw = [batch[c].to_pylist() for c in ("a_counts", "b_counts")]
-        width = np.array([[len(x) // 4 for x in r] for r in raw]).reshape(2, -1)
-        kept = np.zeros(len(sizes), bool)
-        for wide in np.unique(width, axis=1).T:
-            own = np.flatnonzero((width == wide[:, None]).all(0))
-            for k in range(0, len(own), 2048):
-                part = own[k : k + 2048]
-                a, b = (_folded(np.frombuffer(b"".join([r[p] for p in part]), "<u4").astype("i8").reshape(len(part), -1), wide.min()) for r in raw)
-                kept[part] = 9 * np.minimum(a, b).sum(1) >= 4 * sizes[part]
+        width = np.minimum(*(np.fromiter(map(len, r), "i8", len(r)) for r in raw))
+        kept = np.zeros(len(a_n), bool)
+        for w in np.unique(width).tolist():
+            own = np.flatnonzero(width == w)
+            (a, a_rest), (b, b_rest) = (_points([r[k] for k in own], n[own], w) for r, n in zip(raw, (a_n, b_n)))
+            kept[own] = _may_link(a, b, np.minimum(a_rest, b_rest), a_n[own] + b_n[own])
         yield batch.select(["a", "b"]).filter(pa.array(kept))
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs that may be linked, by size and by the finest counts that there are."""
-    a, b = (classes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.coalesce("fine", "counts").alias(f"{c}_counts")) for c in "ab")
-    sized = pairs.join(a.drop("a_counts"), "a").join(b.drop("b_counts"), "b").where(10 * F.least("a_n", "b_n") >= 8 * F.greatest("a_n", "b_n"))
-    return sized.join(a.drop("a_n"), "a").join(b.drop("b_n"), "b").mapInArrow(_allowed, "a long, b long")
+    """Pairs that may be linked, by size and by the bound."""
+    a, b = (classes.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("counts").alias(f"{c}_counts")) for c in "ab")
+    sized = pairs.join(a, "a").join(b, "b").where(10 * F.least("a_n", "b_n") >= 8 * F.greatest("a_n", "b_n"))
+    return sized.mapInArrow(_allowed, "a long, b long")
 
 
 def _verified(batches):
@@ -234,17 +281,23 @@ def _verified(batches):
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
-def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
-    return written(pairs.join(b, "b").join(a, "a").sortWithinPartitions("a", "b").mapInArrow(_verified, "a long, b long"), "links")
-
-
-def _texts(rows: DataFrame, pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """(node, text) of the classes in the pairs, a text of each."""
+def _links(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that whole texts show to be linked, a text of each class being fetched."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = classes.join(nodes, "node", "left_semi").select("key", "node")
     found = rows.withColumn("key", F.struct("doc", "tie")).join(wanted, "key").dropDuplicates(["node"])
-    return written(found.select("node", "text"), "texts", compression="zstd")
+    texts = written(found.select("node", "text"), "texts", compression="zstd")
+    a, b = (texts.select(F.col("node").alias(c), F.col("text").alias(f"{c}_text")) for c in "ab")
+    links = written(pairs.join(b, "b").join(a, "a").sortWithinPartitions("a", "b").mapInArrow(_verified, "a long, b long"), "links")
+    dropped(texts)
+    return links
+
+
+def _once(members: DataFrame) -> DataFrame:
+    """Top nodes (sig, node) without those that have the same members as another, told by a 64-bit digest and their number."""
+    same = members.groupBy("sig").agg(F.bit_xor(F.xxhash64("node")).alias("digest"), F.count("*").alias("size"), F.min("node").alias("least"))
+    kept = same.groupBy("digest", "size", "least").agg(F.min("sig").alias("sig")).select("sig")
+    return members.join(kept, "sig", "left_semi")
 
 
 def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -257,17 +310,12 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     rows = docs.select(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.xxhash64(text).alias("tie"), text.alias("text"))
-    spark = docs.sparkSession
-    late = frequent(rows)
-    order = np.argsort(late)
-    shared = spark.sparkContext.broadcast((late[order], order))
 
     def described(batches):
-        """A task gives the prefix of a set that it sees again only once, as far as its memory goes."""
+        """A task gives the point of a set that it sees again only once, as far as its memory goes."""
         seen: set[int] = set()
         for batch in batches:
-            nodes, sizes, tokens, counts, fine = [], [], [], [], []
-            in_groups = lambda own, groups: np.bincount((own % np.uint64(groups)).astype("i8"), minlength=groups).astype("<u4").tobytes()
+            nodes, sizes, sigs, counts = [], [], [], []
             for text in batch["text"]:
                 own = shingles(text.as_py())
                 node = xxhash.xxh3_64_intdigest(own.tobytes()) - (1 << 63)
@@ -277,47 +325,54 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                     seen.clear()
                 new = len(own) > 0 and node not in seen
                 seen.add(node)
-                tokens.append(prefix(own, *shared.value).view("i8") if new else None)
-                counts.append(in_groups(own, GROUPS) if new else None)
-                fine.append(in_groups(own, FINE) if new and len(own) > LONG else None)
+                sigs.append(slices(own).view("i8") if new else None)
+                counts.append(point(own).tobytes() if new else None)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc"], batch["tie"], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(counts, pa.binary()), pa.array(fine, pa.binary())],
-                names=["doc", "tie", "node", "n", "tokens", "counts", "fine"],
+                [batch["doc"], batch["tie"], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(sigs, pa.list_(pa.int64())), pa.array(counts, pa.binary())],
+                names=["doc", "tie", "node", "n", "sigs", "counts"],
             )
 
-    described_rows = rows.mapInArrow(described, "doc long, tie long, node long, n long, tokens array<long>, counts binary, fine binary")
+    described_rows = rows.mapInArrow(described, "doc long, tie long, node long, n long, sigs array<long>, counts binary")
     table = written(described_rows, "sets", compression="zstd")
-    firsts = table.where(F.col("tokens").isNotNull())
-    classes = firsts.groupBy("node").agg(F.min(F.struct("doc", "tie")).alias("key"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
+    firsts = table.where(F.col("sigs").isNotNull())
+    classes = firsts.groupBy("node").agg(F.min(F.struct("doc", "tie")).alias("key"), F.first("n").alias("n"), F.first("counts").alias("counts"))
     classes = written(classes, "classes", compression="zstd")
 
-    # Blocks of at least two classes. One shuffle: by shingle.
-    meet = firsts.select(F.explode("tokens").alias("token"), "node").repartition("token").groupBy("token", "node").agg(F.lit(0).alias("one"))
-    of_token = Window.partitionBy("token")
-    blocks = meet.select("token", "node", F.min("node").over(of_token).alias("least"), F.max("node").over(of_token).alias("most")).where("least < most").select("token", "node", "least")
-    blocks = written(blocks, "blocks", compression="zstd")
-    stars = blocks.where("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).mapInArrow(unique_in_task, "a long, b long").distinct()
-    stars = written(_bounded(stars, classes), "stars")
-    links = _links(stars, _texts(rows, stars, classes))
+    # Top nodes of at least two classes. One shuffle: by slice.
+    meet = firsts.select(F.explode("sigs").alias("sig"), "node").repartition("sig").groupBy("sig", "node").agg(F.lit(0).alias("one"))
+    of_sig = Window.partitionBy("sig")
+    shared = meet.select("sig", "node", F.min("node").over(of_sig).alias("least"), F.max("node").over(of_sig).alias("most")).where("least < most")
+    tops = written(_once(shared.select("sig", "node")), "tops", compression="zstd")
+    ids = written(table.select("doc", "tie", "node", "n"), "ids")
+    dropped(table)
+
+    # Each class with the one that most top nodes share.
+    weights = tops.groupBy("node").agg(F.count("*").alias("weight"))
+    centred = tops.join(weights, "node").withColumn("centre", F.max(F.struct("weight", "node")).over(of_sig)["node"])
+    stars = centred.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
+    stars = written(_bounded(stars.mapInArrow(unique_in_task, "a long, b long").distinct(), classes), "stars")
+    links = _links(stars, rows, classes)
     labels = components(links)
 
-    # What is still apart within a block.
-    apart = blocks.select("token", "node").join(labels, "node", "left").select("token", "node", F.coalesce("label", "node").alias("comp"))
-    apart = apart.select("*", F.min("comp").over(of_token).alias("c0"), F.max("comp").over(of_token).alias("c1")).where("c0 < c1").select("token", "node", "comp")
+    # What is still apart within a top node.
+    apart = tops.join(labels, "node", "left").select("sig", "node", F.coalesce("label", "node").alias("comp"))
+    apart = apart.select("*", F.min("comp").over(of_sig).alias("c0"), F.max("comp").over(of_sig).alias("c1")).where("c0 < c1").select("sig", "node", "comp")
     apart = written(apart, "apart", compression="zstd")
-    ranked = apart.select("*", F.floor((F.row_number().over(of_token.orderBy("node")) - 1) / TILE).cast("int").alias("tile"), F.floor((F.count("*").over(of_token) - 1) / TILE).cast("int").alias("last"))
+    dropped(tops)
+    ranked = apart.select("*", F.floor((F.row_number().over(of_sig.orderBy("node")) - 1) / TILE).cast("int").alias("tile"), F.floor((F.count("*").over(of_sig) - 1) / TILE).cast("int").alias("last"))
     tiles = F.transform(F.sequence(F.lit(0), F.col("last")), lambda t: F.struct(F.least(t, F.col("tile")).alias("i"), F.greatest(t, F.col("tile")).alias("j")))
-    dealt = ranked.withColumn("at", F.explode(tiles)).select("token", "at.i", "at.j", "node", "comp", "tile")
-    dealt = dealt.join(classes.select("node", "n", "counts"), "node").repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    pairs = written(dealt.mapInArrow(_block_pairs, "a long, b long").mapInArrow(unique_in_task, "a long, b long").distinct(), "pairs")
-    pairs = written(_bounded(pairs, classes), "bounded")
+    dealt = ranked.withColumn("at", F.explode(tiles)).select("sig", "at.i", "at.j", "node", "comp", "tile")
+    dealt = dealt.join(classes.select("node", "n", "counts"), "node").repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+    pairs = written(dealt.mapInArrow(_node_pairs, "a long, b long").mapInArrow(unique_in_task, "a long, b long").distinct(), "pairs")
+    dropped(apart, stars)
     if not pairs.isEmpty():
-        links = links.unionByName(_links(pairs, _texts(rows, pairs, classes)))
+        links = links.unionByName(_links(pairs, rows, classes))
         labels = components(links)
 
-    with_label = table.join(labels, "node", "left").select("doc", "tie", "n", F.coalesce("label", "node").alias("label"))
+    with_label = ids.join(labels, "node", "left").select("doc", "tie", "n", F.coalesce("label", "node").alias("label"))
     with_label = written(with_label, "labelled")
-    least = written(with_label.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc").alias("component")), "least")
+    dropped(ids, classes, pairs)
+    least = with_label.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc").alias("component"))
     out = with_label.join(least, "label", "left")
     return out.select("doc", "tie", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component"), "label")
 
