@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -80,15 +79,3 @@ def components(edges: DataFrame) -> DataFrame:
         dropped(edges, hooks)
         edges = fewer
     return labels
-
-
-def unique_in_task(batches, most: int = 1 << 20):
-    """Pairs (a, b), each passed on once by this task as far as its memory of `most` goes."""
-    seen: set = set()
-    for batch in batches:
-        new = [p for p in dict.fromkeys(zip(batch["a"].to_pylist(), batch["b"].to_pylist())) if p not in seen]
-        if len(seen) + len(new) > most:
-            seen.clear()
-        seen.update(new)
-        if new:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array([p[k] for p in new], "i8")) for k in (0, 1)], names=["a", "b"])

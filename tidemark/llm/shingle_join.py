@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import NULL_ID, dropped, order_id, written
-from .graph import Forest, components, unique_in_task
+from .graph import Forest, components
 
 WORDS, LEAF, TILE = 5, 16, 2048
 #: Least and most groups of a stored point.
@@ -342,15 +342,17 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     meet = firsts.select(F.explode("sigs").alias("sig"), "node").repartition("sig").groupBy("sig", "node").agg(F.lit(0).alias("one"))
     of_sig = Window.partitionBy("sig")
     shared = meet.select("sig", "node", F.min("node").over(of_sig).alias("least"), F.max("node").over(of_sig).alias("most")).where("least < most")
-    tops = written(_once(shared.select("sig", "node")), "tops", compression="zstd")
+    shared = written(shared.select("sig", "node"), "shared", compression="zstd")
     ids = written(table.select("doc", "tie", "node", "n"), "ids")
     dropped(table)
+    tops = written(_once(shared), "tops", compression="zstd")
+    dropped(shared)
 
     # Each class with the one that most top nodes share.
     weights = tops.groupBy("node").agg(F.count("*").alias("weight"))
     centred = tops.join(weights, "node").withColumn("centre", F.max(F.struct("weight", "node")).over(of_sig)["node"])
     stars = centred.where("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    stars = written(_bounded(stars.mapInArrow(unique_in_task, "a long, b long").distinct(), classes), "stars")
+    stars = written(_bounded(stars.distinct(), classes), "stars")
     links = _links(stars, rows, classes)
     labels = components(links)
 
@@ -363,7 +365,7 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     tiles = F.transform(F.sequence(F.lit(0), F.col("last")), lambda t: F.struct(F.least(t, F.col("tile")).alias("i"), F.greatest(t, F.col("tile")).alias("j")))
     dealt = ranked.withColumn("at", F.explode(tiles)).select("sig", "at.i", "at.j", "node", "comp", "tile")
     dealt = dealt.join(classes.select("node", "n", "counts"), "node").repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
-    pairs = written(dealt.mapInArrow(_node_pairs, "a long, b long").mapInArrow(unique_in_task, "a long, b long").distinct(), "pairs")
+    pairs = written(dealt.mapInArrow(_node_pairs, "a long, b long").distinct(), "pairs")
     dropped(apart, stars)
     if not pairs.isEmpty():
         links = links.unionByName(_links(pairs, rows, classes))
@@ -372,7 +374,8 @@ def similar(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     with_label = ids.join(labels, "node", "left").select("doc", "tie", "n", F.coalesce("label", "node").alias("label"))
     with_label = written(with_label, "labelled")
     dropped(ids, classes, pairs)
-    least = with_label.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc").alias("component"))
+    # a table of its own, so that the join may split a hot label
+    least = written(with_label.where(F.col("label").isNotNull()).groupBy("label").agg(F.min("doc").alias("component")), "least")
     out = with_label.join(least, "label", "left")
     return out.select("doc", "tie", F.col("n").alias("n_shingles"), F.coalesce("component", "doc").alias("component"), "label")
 
