@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import id_and_text
+from .units import by_size
 
 _LETTERS = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 
@@ -30,10 +31,13 @@ class OrdinalModel:
     weights: dict[bytes, float]
     cuts: list[float]  # ascending, one below each grade but the lowest
 
-    def above(self, text: str) -> np.ndarray:
+    def evidence(self, text: str) -> float:
+        """The summed weights of the text's known words."""
+        return float(sum([self.weights[w] for w in words(text) & self.weights.keys()]))
+
+    def above(self, evidence: float) -> np.ndarray:
         """P(grade > k) for each k."""
-        score = sum([self.weights[w] for w in words(text) & self.weights.keys()])
-        return 1 / (1 + np.exp(np.clip(np.array(self.cuts) - score, -60, 60)))
+        return 1 / (1 + np.exp(np.clip(np.array(self.cuts) - evidence, -60, 60)))
 
 
 def fit_ordinal(rows: list[list[int]], grades: np.ndarray, n_features: int, penalty: float = 0.005, steps: int = 1500) -> tuple[np.ndarray, np.ndarray]:
@@ -79,14 +83,18 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
 
     def described(batches):
         for batch in batches:
-            seen, lows = [], [[], [], []]
-            for text in batch["text"].to_pylist():
-                seen.append(sorted(words(text)))
-                row = text.lower().split()
-                grams = [" ".join(row[k : k + 5]) for k in range(max(1, len(row) - 4))]
-                for k, low in enumerate(lows):
-                    low.append(xxhash.xxh3_64_intdigest(min(grams, key=lambda g: xxhash.xxh3_64_intdigest(g, k)), k) >> 1)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["grade"], pa.array(seen, pa.list_(pa.binary())), *[pa.array(x, pa.int64()) for x in lows]], names=["doc_id", "grade", "words", "a", "b", "c"])
+            at = 0
+            for texts in by_size((t.as_py() for t in batch["text"]), 1 << 20):
+                own = batch.slice(at, len(texts))
+                at += len(texts)
+                lows = [[], [], []]
+                for text in texts:
+                    row = text.lower().split()
+                    grams = [" ".join(row[k : k + 5]) for k in range(max(1, len(row) - 4))]
+                    for k, low in enumerate(lows):
+                        low.append(min(xxhash.xxh3_64_intdigest(g, k) for g in grams) >> 1)
+                seen = pa.array((sorted(words(x)) for x in texts), pa.list_(pa.binary()))
+                yield pa.RecordBatch.from_arrays([own["doc_id"], own["grade"], seen, *[pa.array(x, pa.int64()) for x in lows]], names=["doc_id", "grade", "words", "a", "b", "c"])
 
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "grade", "text")
     rows = rows.mapInArrow(described, "doc_id long, grade int, words array<binary>, a long, b long, c long")
@@ -113,19 +121,24 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(docs: DataFrame, model: OrdinalModel | None, text_col: str = "text", least: float = 0.2) -> DataFrame:
-    """docs with expected_severity, severity (the likeliest count of cut points passed) and toxic (P(grade > 0) >= least).
+    """docs with expected_severity, severity (the likeliest count of cut points passed) and toxic.
 
+    A text is toxic if P(grade > 0) >= least and its words speak for it, so that a share of toxic
+    documents above `least` alone condemns none.
     A null or empty text has the severity of a text without known words. Without a model, or with
-    one grade only, the severity is 0. Columns of these names are replaced.
+    one grade only, the severity is 0. Columns of these names are replaced. Every row stays, repeated
+    ones with the same result each; ids play no part. A text of any length is read as a whole, one
+    at a time. A probability that equals `least` counts as toxic. An empty table gives no row.
     """
 
     @F.arrow_udf("struct<expected:double,grade:int,toxic:boolean>")
     def severity(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts:
-            above = model.above(text.as_py() or "") if model else np.zeros(0)
-            out.append({"expected": float(above.sum()), "grade": int((above >= 0.5).sum()), "toxic": bool(len(above) and above[0] >= least)})
-        return pa.array(out, pa.struct([("expected", pa.float64()), ("grade", pa.int32()), ("toxic", pa.bool_())]))
+        evidence = [model.evidence(text.as_py() or "") if model else 0.0 for text in texts]
+        above = [model.above(x) if model else np.zeros(0) for x in evidence]
+        return pa.StructArray.from_arrays(
+            [pa.array([float(a.sum()) for a in above], pa.float64()), pa.array([int((a >= 0.5).sum()) for a in above], pa.int32()), pa.array([bool(x > 0 and len(a) and a[0] >= least) for x, a in zip(evidence, above)], pa.bool_())],
+            names=["expected", "grade", "toxic"],
+        )
 
     scored = docs.withColumn("__tm_s", severity(F.col(f"`{text_col}`")))
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("expected_severity", "severity", "toxic")]
