@@ -1,13 +1,17 @@
 """Removal of passages that stand in an earlier document, by content-defined chunks.
 
-A gear rolling hash over the last 16 bytes cuts UTF-8 text where its top bits are zero, so cuts
-move with their content and an insertion shifts none but its own. Chunks are compared by digest
-and length. A chunk repeats if a document with a smaller id has it; runs of repeated chunks of at
-least MIN_WORDS words are removed, shrunk to whole words. First occurrences stay.
+A gear rolling hash over the last 16 bytes cuts UTF-8 text where its top bits are zero, and where no such
+place is near, at its least value there; so cuts move with their content, in monotonous text as well,
+and an insertion shifts none but its own. Chunks are compared by digest and length. A chunk repeats
+if an earlier document has it: one with a smaller id, or of equal ids with a smaller text hash. Runs
+of repeated chunks of at least MIN_WORDS words are removed, shrunk to whole words. First occurrences
+stay. A chunk is some five words long, so of a longer passage a few words may be left at its ends.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -17,11 +21,13 @@ from pyspark.sql import functions as F
 from ._common import order_id
 
 #: Chunk bytes at least, mean beyond that, at most; words in a run that is removed.
-MIN_CHUNK, MEAN_BITS, MAX_CHUNK, MIN_WORDS = 24, 5, 256, 20
+MIN_CHUNK, MEAN_BITS, MAX_CHUNK, MIN_WORDS = 16, 4, 96, 25
 #: Documents' bytes of which a task compares chunks before it hands them on.
-LOCAL_BYTES = 32 << 20
+LOCAL_BYTES = 24 << 20
 _GEAR = np.random.Generator(np.random.PCG64(20240607)).integers(0, 1 << 16, 256, dtype="u2")
 _SPACES = b" \t\n\r\x0b\x0c"
+#: First bytes of characters of scripts that mostly don't part words by spaces; two of them count as a word.
+_DENSE = bytes(range(0xE3, 0xEE))
 
 
 def cut_points(data: bytes) -> list[int]:
@@ -33,14 +39,12 @@ def cut_points(data: bytes) -> list[int]:
     h = _GEAR[raw]
     for step in (1, 2, 4, 8):
         h[step:] += h[:-step] << np.uint16(step)
+    h[:-1][(raw[1:] & 0xC0) == 0x80] = 0xFFFF
     ends = np.flatnonzero(h[: n - 1] < (1 << (16 - MEAN_BITS))) + 1
-    ends = ends[(raw[ends] & 0xC0) != 0x80]
     out, last = [], 0
     for end in [*ends.tolist(), n]:
         while end - last > MAX_CHUNK:
-            last += MAX_CHUNK
-            while last < n and data[last] & 0xC0 == 0x80:
-                last += 1
+            last += MIN_CHUNK + int(h[last + MIN_CHUNK - 1 : last + MAX_CHUNK].argmin())
             out.append(last)
         if end - last >= MIN_CHUNK or end == n > last:
             out.append(end)
@@ -49,79 +53,73 @@ def cut_points(data: bytes) -> list[int]:
 
 
 def _chunk_rows(batches):
-    """A row for each distinct chunk of a document: (digest, doc, tie, ats, earlier).
+    """A row for each chunk of a document: (digest, doc, tie, at, e_doc, e_tie), at being start << 10 | length.
 
     Within LOCAL_BYTES of documents only the first document with a chunk hands it on to be compared;
-    the others already know an earlier document. So a chunk that stands in a third of all documents
-    gives one row to compare for each such block.
+    the others already know an earlier document, (e_doc, e_tie). So a chunk that stands in a third of all
+    documents gives one row to compare for each such block.
     """
-    docs, ties, digests, ats, owner = [], [], [], [], []
+    docs, ties, digests, ats, owner = array("q"), array("q"), array("Q"), array("q"), array("i")
 
     def rows():
-        d, k = np.array(digests, "u8").view("i8"), np.array(owner, "i4")
-        doc, tie = np.array(docs, "i8"), np.array(ties, "i4")
-        order = np.lexsort((np.array(ats, "i8"), tie[k], doc[k], d))
-        d, k, at = d[order], k[order], np.array(ats, "i8")[order]
-        new_chunk = np.append(True, d[1:] != d[:-1])
-        new_row = new_chunk | np.append(True, k[1:] != k[:-1])
-        first = doc[k][np.maximum.accumulate(np.where(new_chunk, np.arange(len(d)), 0))]
-        heads = np.flatnonzero(new_row)
-        earlier = first[heads]
-        known = earlier < doc[k[heads]]
-        offsets = pa.array(np.append(heads, len(d)).astype("i4"))
-        for a in range(0, len(heads), 1 << 18):
-            part = slice(a, a + (1 << 18))
-            lists = pa.ListArray.from_arrays(offsets[a : a + len(heads[part]) + 1], pa.array(at))
+        d, k, at = np.array(digests, "u8").view("i8"), np.array(owner, "i4"), np.array(ats, "i8")
+        doc, tie = np.array(docs, "i8"), np.array(ties, "i8")
+        order = np.lexsort((tie[k], doc[k], d))
+        d, k, at = d[order], k[order], at[order]
+        first = k[np.maximum.accumulate(np.where(np.append(True, d[1:] != d[:-1]), np.arange(len(d)), 0))]
+        new = (doc[first] == doc[k]) & (tie[first] == tie[k])
+        for a in range(0, len(d), 1 << 18):
+            p = slice(a, a + (1 << 18))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(d[heads[part]]), pa.array(doc[k[heads[part]]]), pa.array(tie[k[heads[part]]]), lists, pa.array(earlier[part], mask=~known[part])],
-                names=["digest", "doc", "tie", "ats", "earlier"],
+                [pa.array(d[p]), pa.array(doc[k[p]]), pa.array(tie[k[p]]), pa.array(at[p]), pa.array(doc[first[p]], mask=new[p]), pa.array(tie[first[p]], mask=new[p])],
+                names=["digest", "doc", "tie", "at", "e_doc", "e_tie"],
             )
 
     size = 0
     for batch in batches:
         for doc, tie, text in zip(batch["doc"].to_pylist(), batch["tie"].to_pylist(), batch["text"]):
             data = text.as_buffer().to_pybytes() if text.is_valid else b""
-            start = 0
+            start, k = 0, len(docs)
             for end in cut_points(data):
                 digests.append(xxhash.xxh3_64_intdigest(data[start:end], end - start))
                 ats.append(start << 10 | end - start)
-                owner.append(len(docs))
+                owner.append(k)
                 start = end
             docs.append(doc)
             ties.append(tie)
             size += len(data)
             if size >= LOCAL_BYTES and owner:
                 yield from rows()
-                docs, ties, digests, ats, owner, size = [], [], [], [], [], 0
+                docs, ties, digests, ats, owner, size = array("q"), array("q"), array("Q"), array("q"), array("i"), 0
     if owner:
         yield from rows()
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Column]:
-    return order_id(F.col(f"`{id_col}`").cast("long")), F.hash(F.col(f"`{text_col}`"))
+    return order_id(F.col(f"`{id_col}`").cast("long")), F.xxhash64(F.col(f"`{text_col}`"))
 
 
 def repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc, tie, marks): for documents with repeated chunks, where these are and the earliest document.
 
-    A mark is (start << 10 | length, document). tie tells texts with one id apart. Of equal ids
-    none is earlier than the other.
+    A mark is (start << 10 | length, document). tie is a hash of the text, by which texts with one id,
+    or without one, are told apart and ordered.
     """
     doc, tie = _keyed(docs, id_col, text_col)
     chunks = docs.select(doc.alias("doc"), tie.alias("tie"), F.col(f"`{text_col}`").alias("text")).mapInArrow(
-        _chunk_rows, "digest long, doc long, tie int, ats array<long>, earlier long"
+        _chunk_rows, "digest long, doc long, tie long, at long, e_doc long, e_tie long"
     )
     # What already knows an earlier document needs no comparison; its salt spreads it.
-    salt = F.when(F.col("earlier").isNull(), F.lit(0)).otherwise(F.xxhash64("doc", "tie", F.col("ats")[0]))
-    chunks = chunks.withColumn("salt", salt)
-    first = F.min("doc").over(Window.partitionBy("digest", "salt"))
-    found = chunks.withColumn("first", F.coalesce("earlier", first)).where(F.col("first") < F.col("doc"))
-    marks = F.flatten(F.collect_list(F.transform("ats", lambda at: F.struct(at.alias("at"), F.col("first").alias("first")))))
-    return found.groupBy("doc", "tie").agg(marks.alias("marks"))
+    salt = F.when(F.col("e_doc").isNull(), F.lit(0)).otherwise(F.xxhash64("doc", "tie", "at"))
+    own = F.struct(F.coalesce("e_doc", "doc").alias("doc"), F.coalesce("e_tie", "tie").alias("tie"))
+    first = F.min(own).over(Window.partitionBy("digest", "salt"))
+    found = chunks.withColumn("salt", salt).withColumn("first", first).where(F.col("first") < F.struct("doc", "tie"))
+    return found.groupBy("doc", "tie").agg(F.collect_list(F.struct("at", F.col("first.doc").alias("first"))).alias("marks"))
 
 
-def _words(data: bytes) -> int:
-    return len(data.split())
+def words_in(data: bytes) -> int:
+    """Words parted by white space; in scripts without spaces two characters count as a word."""
+    return len(data.split()) + (len(data) - len(data.translate(None, _DENSE))) // 2
 
 
 def cut_out(data: bytes, marks: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int, int]]]:
@@ -135,11 +133,11 @@ def cut_out(data: bytes, marks: list[tuple[int, int]]) -> tuple[bytes, list[tupl
             runs.append([start, end, first])
     out, spans, kept = [], [], 0
     for start, end, first in runs:
-        while 0 < start < end and data[start - 1] not in _SPACES:
+        while 0 < start < end and data[start - 1] not in _SPACES and data[start] not in _DENSE:
             start += 1
-        while start < end < len(data) and data[end] not in _SPACES:
+        while start < end < len(data) and data[end] not in _SPACES and data[end] not in _DENSE:
             end -= 1
-        if start < end and _words(data[start:end]) >= MIN_WORDS:
+        if start < end and words_in(data[start:end]) >= MIN_WORDS:
             out.append(data[kept:start])
             spans.append((start, end, first))
             kept = end
@@ -150,8 +148,10 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", spans
     """docs with repeated passages cut from the text, and spans_col: array of (start, end, first_doc).
 
     Spans are UTF-8 byte offsets in the given text; first_doc is a document that has the passage.
-    Every row and column stays (a column named spans_col is replaced); a null text stays null; rows
-    that repeat as a whole get the same result each, as do all with a null id, which count as earliest.
+    Every row and column stays (a column named spans_col is replaced); a null text stays null and an
+    empty one empty. Null ids count as earliest; among rows of one id, or without one, the text's hash
+    decides which is earlier, and rows that repeat id and text get the same result each. A text of any
+    length is cut as a whole. An empty table gives no row.
     """
     doc, tie = _keyed(docs, id_col, text_col)
     marks = repeated(docs, id_col, text_col).select(F.struct("doc", "tie").alias("__tm_key"), F.col("marks").alias("__tm_marks"))
