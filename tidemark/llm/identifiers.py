@@ -5,7 +5,8 @@ Patterns and the strings that they meet form a graph, over which confidence goes
 pattern is as good as the strings it meets, a string as good as the patterns that meet it. Strings
 that no fixed pattern found, but several good patterns meet, are added, and what stands beside these
 are patterns in the next round. How a string is written isn't part of a pattern; its form only has
-to be near that of known ones of the kind. Texts are read once; the graph holds only digests.
+to be near that of known ones of the kind. Secrets are a kind of their own: their seeds are strings of
+letters and digits that are given to a key word. Texts are read once; the graph holds only digests.
 """
 
 from __future__ import annotations
@@ -19,20 +20,26 @@ from pyspark.sql import functions as F
 
 from ._common import order_id, written
 
-KINDS = ("email", "ip", "card", "phone")
+#: The kinds of the fixed patterns, and what is found beyond them.
+KINDS = ("email", "ip", "card", "phone", "secret")
+SECRET = 4
 _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+").match
 _LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z").search
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}").finditer
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+").finditer
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]").finditer
+_SECRET = re.compile(r"""(?i)(?<![a-z0-9])(?:token|secret|password|passwd|api[_-]?key|access[_-]?key|auth)["']?[ \t]{0,4}[:=][ \t]{0,4}["']?([a-z0-9][a-z0-9+/_=.-]{15,})""").finditer
 #: Strings that may be identifiers: with a digit run, or an @ written out.
-_MAYBE = re.compile(r"[A-Za-z0-9+(][A-Za-z0-9@._%+():/-]{5,63}").finditer
+_MAYBE = re.compile(r"[A-Za-z0-9+(][A-Za-z0-9@._%+():/=-]{5,}").finditer
 #: Numbers in groups that spaces part.
 _GROUPED = re.compile(r"(?<![\w@+])\(?[0-9]+(?:[().:/-]{0,2} ?[().:/-]{0,2}[0-9]+)+(?![\w@])").finditer
 _WORD = re.compile(r"\w+")
+#: What may stand between a key word and what is given to it.
+_MARKS = " \t:=#<>\"'([{|"
 _NOT_DIGIT = re.compile("[^0-9]+")
-#: The form of strings with an @; other forms are numbers of digits, and near each other up to FORM_REACH - 1 apart.
-AT_FORM, FORM_REACH = 1000, 4
+#: The form of strings with an @, and the least one of strings of letters and digits, which have their length's;
+#: other forms are numbers of digits. Forms are near each other up to FORM_REACH - 1 apart.
+AT_FORM, MIXED_FORM, FORM_REACH = 1000, 2000, 4
 
 
 def luhn(digits: str) -> bool:
@@ -69,18 +76,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def secrets(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """(start, SECRET, end) of seeds: letters and digits given to a key word, outside the spans that are taken."""
+    out = []
+    for m in _SECRET(text):
+        start, end = m.start(1), m.start(1) + len(m[1].rstrip("=.-"))
+        found = text[start:end]
+        if any(map(str.isdigit, found)) and any(map(str.isalpha, found)) and not any(a < end and start < b for a, _, b in taken):
+            out.append((start, SECRET, end))
+    return out
+
+
 def form(found: str) -> int:
-    return AT_FORM if "@" in found else min(sum(map(str.isdigit, found)), AT_FORM // 2)
+    if "@" in found:
+        return AT_FORM
+    digits = sum(map(str.isdigit, found))
+    return MIXED_FORM + min(len(found), 4000) // 4 if 4 <= sum(map(str.isalpha, found)) and digits else min(digits, AT_FORM // 2)
 
 
 def _digest(*parts: str) -> int:
     return xxhash.xxh3_64_intdigest("\x1f".join(parts)) - (1 << 63)
 
 
+def _nearest(text: str, at: int, step: int) -> list[str]:
+    """The two words next before (step -1) or behind a place, in the order of the text."""
+    reach = 60
+    while True:
+        part = text[max(0, at - reach) : at] if step < 0 else text[at : at + reach]
+        found = _WORD.findall(part)
+        # the outermost word may go on beyond what was looked at
+        if len(found) > 2 or reach >= (at if step < 0 else len(text) - at):
+            return [w.lower() for w in (found[-2:] if step < 0 else found[:2])]
+        reach *= 4
+
+
 def contexts(text: str, start: int, end: int) -> list[int]:
-    """Digests of the lexical patterns around a span: two words before it, two after, one on each side."""
-    before = _WORD.findall(text[max(0, start - 60) : start].lower())[-2:]
-    behind = _WORD.findall(text[end : end + 60].lower())[:2]
+    """Digests of the lexical patterns around a span.
+
+    Two words before it, two after, one on each side, and the word before it with the marks between, if
+    there are some, as in: token = ".
+    """
+    before, behind = _nearest(text, start, -1), _nearest(text, end, 1)
     out = []
     if len(before) == 2:
         out.append(_digest("before", *before))
@@ -88,6 +124,10 @@ def contexts(text: str, start: int, end: int) -> list[int]:
         out.append(_digest("behind", *behind))
     if before and behind:
         out.append(_digest("around", before[-1], behind[0]))
+    lead = text[max(0, start - 8) : start]
+    gap = lead[len(lead.rstrip(_MARKS)) :]
+    if before and gap.strip() and len(gap) < 8:
+        out.append(_digest("lead", before[-1], gap.strip()))
     return out
 
 
@@ -123,7 +163,8 @@ def _read(texts: pa.Array) -> pa.Array:
     for text in texts:
         text = text.as_py() or ""
         base = base_spans(text)
-        seen = base + [(s, -1, e) for s, e in candidates(text, base)]
+        seen = sorted(base + secrets(text, base))
+        seen += [(s, -1, e) for s, e in candidates(text, seen)]
         out.append(
             {
                 "base": [{"start": s, "kind": k, "end": e} for s, k, e in base],
@@ -142,7 +183,7 @@ def _form_scores(known: DataFrame) -> DataFrame:
     return near.groupBy("p_kind", "form").agg(F.sum("n").alias("n")).join(F.broadcast(total), "p_kind").select("p_kind", "form", (F.col("n") / F.col("all")).alias("form_score"))
 
 
-def confident(seen: DataFrame, rounds: int = 3, min_seeds: int = 5, least: float = 0.9, least_form: float = 0.1) -> DataFrame:
+def confident(seen: DataFrame, rounds: int = 3, min_seeds: int = 5, least: float = 0.9, least_form: float = 0.1, strong: int = 20) -> DataFrame:
     """(instance, kind) of strings that good patterns found, from (instance, kind or -1, pattern, and form if there is one).
 
     A pattern takes part for a kind if it meets min_seeds different strings of it: seeds, or in later
@@ -166,8 +207,8 @@ def confident(seen: DataFrame, rounds: int = 3, min_seeds: int = 5, least: float
             forms = forms.unionByName(accepted.select("p_kind", "form", "belief"))
         scored = open_edges.join(support.where(F.col("n") >= min_seeds), "pattern").withColumn("score", F.col("weight") / (F.col("n_all") + 1))
         doubt = F.sum(F.log1p(-F.least(F.col("score"), F.lit(0.999))))
-        belief = scored.groupBy("instance", "form", "p_kind").agg((1 - F.exp(doubt)).alias("belief"), F.count("*").alias("n_patterns"))
-        belief = belief.where((F.col("belief") >= least) & (F.col("n_patterns") >= 2)).join(_form_scores(forms), ["p_kind", "form"])
+        belief = scored.groupBy("instance", "form", "p_kind").agg((1 - F.exp(doubt)).alias("belief"), F.count("*").alias("n_patterns"), F.max("n").alias("support"))
+        belief = belief.where((F.col("belief") >= least) & ((F.col("n_patterns") >= 2) | (F.col("support") >= strong))).join(_form_scores(forms), ["p_kind", "form"])
         accepted = written(belief.where(F.col("form_score") >= least_form).select("instance", "form", "p_kind", "belief"), "accepted")
     return accepted.groupBy("instance").agg(F.max_by(F.col("p_kind"), F.struct("belief", -F.col("p_kind"))).alias("kind"))
 
@@ -175,15 +216,18 @@ def confident(seen: DataFrame, rounds: int = 3, min_seeds: int = 5, least: float
 def found(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bootstrap) -> DataFrame:
     """(doc, tie, base, spans): arrays of (start, kind, end) in code points, by start and kind; a table in the shared folder.
 
-    kind is a place in KINDS. tie tells texts with one id apart; rows that repeat as a whole come
-    once each. A null or empty text has no span. An empty table gives no row.
+    kind is a place in KINDS. tie tells texts with one id apart; rows that repeat id and text come
+    once each. A null or empty text has no span; a text of any length is read as a whole. Spans that
+    several kinds claim are given to the one with the highest belief, of equal ones to the first in
+    KINDS. An empty table gives no row.
     """
     text = F.col(f"`{text_col}`")
-    rows = docs.select(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.hash(text).alias("tie"), F.arrow_udf(_read, _FOUND_SQL)(text).alias("found"))
+    rows = docs.select(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.xxhash64(text).alias("tie"), F.arrow_udf(_read, _FOUND_SQL)(text).alias("found"))
     rows = written(rows.select("doc", "tie", "found.base", "found.seen"), "spans")
     seen = rows.select("doc", "tie", F.explode("seen").alias("s")).select("doc", "tie", "s.*")
     extra = confident(seen.select("instance", "kind", "form", "patterns"), **bootstrap).withColumnRenamed("kind", "new_kind")
     added = seen.where("kind < 0").join(extra, "instance").select("doc", "tie", F.struct("start", F.col("new_kind").alias("kind"), "end").alias("span"))
+    added = added.unionByName(seen.where(F.col("kind") == SECRET).select("doc", "tie", F.struct("start", "kind", "end").alias("span")))
     added = added.groupBy("doc", "tie").agg(F.collect_set("span").alias("added"))
     spans = F.array_sort(F.concat("base", F.coalesce("added", F.array().cast("array<struct<start:long,kind:int,end:long>>"))))
     return rows.join(added, ["doc", "tie"], "left").select("doc", "tie", "base", spans.alias("spans"))
@@ -197,7 +241,7 @@ def joined(spans: Column) -> Column:
 
 def mask(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bootstrap) -> DataFrame:
     """docs with every span replaced by its kind in angle brackets; all rows and columns stay, a null text stays null."""
-    key = F.struct(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.hash(F.col(f"`{text_col}`")).alias("tie"))
+    key = F.struct(order_id(F.col(f"`{id_col}`").cast("long")).alias("doc"), F.xxhash64(F.col(f"`{text_col}`")).alias("tie"))
     spans = found(docs, id_col, text_col, **bootstrap).where(F.size("spans") > 0).select(F.struct("doc", "tie").alias("__tm_key"), F.col("spans").alias("__tm_spans")).dropDuplicates(["__tm_key"])
 
     @F.arrow_udf("string")

@@ -67,7 +67,7 @@ def op7_identifiers(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identifiers.found(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n_of = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{identifiers.KINDS[k]}")
     doc_id = F.when(F.col("doc") != NULL_ID, F.col("doc")).alias("doc_id")
-    return found.select(doc_id, *[n_of(k) for k in range(4)], F.sha2(identifiers.joined(F.col("base")), 256).alias("base_sha256"), identifiers.joined(F.col("spans")).alias("spans"))
+    return found.select(doc_id, *[n_of(k) for k in range(4)], F.sha2(identifiers.joined(F.col("base")), 256).alias("base_sha256"), identifiers.joined(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op8_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
