@@ -38,6 +38,53 @@ def test_cuts_cover_and_resist_shifts():
     assert all((umlauts[e : e + 1] or b"a")[0] & 0xC0 != 0x80 for e in substrings.cut_points(umlauts))
 
 
+def test_cuts_are_those_of_a_byte_by_byte_loop():
+    rng = random.Random(8)
+    for data in (prose(rng, 300).encode(), ("ä中x " * 300).encode(), b"word " * 200, bytes(500), rng.randbytes(900).hex().encode()):
+        h, hashes = 0, []
+        for b in data:
+            h = ((h << 1) + int(substrings._GEAR[b])) & 0xFFFF
+            hashes.append(h)
+        inside = lambda end: end < len(data) and data[end] & 0xC0 == 0x80
+        want, last = [], 0
+        while last < len(data):
+            near = [e for e in range(last + substrings.MIN_CHUNK, min(len(data) - 1, last + substrings.MAX_CHUNK) + 1) if not inside(e)]
+            end = next((e for e in near if hashes[e - 1] < 1 << (16 - substrings.MEAN_BITS)), None)
+            if end is None:
+                end = min(near, key=lambda e: (hashes[e - 1], e)) if len(data) - last > substrings.MAX_CHUNK else len(data)
+            want.append(end)
+            last = end
+        assert substrings.cut_points(data) == want
+
+
+def test_removal_is_that_of_plain_comparison(spark):
+    """Marks from Spark are those of a dictionary of chunks; passages of 51 words are caught."""
+    rng = random.Random(9)
+    passages = [prose(rng, 51) for _ in range(20)]
+    rows = [(k, f"{prose(rng, 30)} {passages[k % 20]} {prose(rng, 30)}") for k in range(60)] + [(None, prose(rng, 40)), (7, passages[3]), (70, "wort " * 60), (71, prose(rng, 3) + " wort" * 60)]
+    rows += [(80, "文字の並び、" * 3 + "".join(chr(0x4E00 + (i * 37) % 900) for i in range(120))), (81, "前" + "".join(chr(0x4E00 + (i * 37) % 900) for i in range(120)) + "後 end")]
+    got = {(r["doc_id"], r["tie_"]): r for r in substrings.dedup(frame(spark, rows).withColumn("tie_", F.xxhash64("text"))).collect()}
+    keyed = sorted(((r["doc_id"] is not None, r["doc_id"] or 0, r["tie_"]), r) for r in frame(spark, rows).withColumn("tie_", F.xxhash64("text")).collect())
+    first, caught = {}, 0
+    for _, r in keyed:
+        data, start, marks = r["text"].encode(), 0, []
+        for end in substrings.cut_points(data):
+            if data[start:end] in first:
+                marks.append((start << 10 | end - start, first[data[start:end]]))
+            start = end
+        start = 0
+        for end in substrings.cut_points(data):
+            first.setdefault(data[start:end], r["doc_id"] or 0)
+            start = end
+        text, spans = substrings.cut_out(data, marks)
+        found = got[r["doc_id"], r["tie_"]]
+        # a repeat within the text itself is none
+        if not any(s[2] == r["doc_id"] for s in spans):
+            assert found["text"] == text.decode() and [(s["start"], s["end"]) for s in found["removed_spans"]] == [s[:2] for s in spans]
+        caught += bool(found["removed_spans"])
+    assert caught >= 42 and got[81, [r["tie_"] for _, r in keyed if r["doc_id"] == 81][0]]["removed_spans"]
+
+
 def test_dedup(spark):
     rng = random.Random(2)
     passage, own = prose(rng, 90), [prose(rng, 60) for _ in range(6)]
@@ -146,7 +193,10 @@ def test_bootstrap_finds_what_the_patterns_miss(spark):
     assert all(len(by[500 + k]["spans"]) == 0 for k in range(20)) and by[900]["spans"] == [] and by[901]["spans"] == [] and len(by[902]["spans"]) == 1
     for k in range(120):
         base = {tuple(s) for s in by[k]["base"]}
-        assert base == set(plain_spans(rows[k][1])) and base <= {tuple(s) for s in by[k]["spans"]}
+        spans = {tuple(s) for s in by[k]["spans"]}
+        assert base == set(plain_spans(rows[k][1])) and base <= spans
+        number = re.search(r"number (\+?[0-9]+) today", rows[k][1])
+        assert spans == {(number.start(1), 3, number.end(1))}  # with or without +, and nothing else
     masked = {r["doc_id"]: r["text"] for r in identifiers.mask(frame(spark, rows)).collect()}
     assert masked[None] == "x <email> y" and masked[900] is None and "<phone>" in masked[1] and identifiers.mask(frame(spark, rows)).count() == len(rows)
     assert identifiers.found(frame(spark, [])).count() == 0 and identifiers.mask(frame(spark, [])).count() == 0
@@ -172,6 +222,53 @@ def test_bootstrap_finds_new_written_forms(spark):
         assert spans[k] == ({want} if want else set()), text
 
 
+def test_secrets(spark):
+    """Strings given to a key word are seeds; what else stands in their context is found, other long strings are not."""
+    rng = random.Random(21)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    rows = [(k, f'{prose(rng, 9)} token = "{some("0123456789abcdef", 40)}" {prose(rng, 9)}') for k in range(60)]
+    rows += [(100 + k, f'{prose(rng, 9)} token = "{some("0123456789", 2)}-{some("0123456789abcdef", 37)}:{some("0123456789ab", 80)}" {prose(rng, 9)}') for k in range(5)]
+    rows += [(200 + k, f"{prose(rng, 9)} build {some('0123456789abcdef', 40)} {prose(rng, 9)}") for k in range(30)]
+    rows += [(300, f"token = {some('abc', 30)}"), (301, "the token: short1"), (302, f"api_key='{some('0123456789ABCdef', 24)}' x@y.zz")]
+    found = {r["doc"]: r for r in identifiers.found(frame(spark, rows)).collect()}
+    for k, text in rows:
+        spans = {(text[s["start"] : s["end"]], s["kind"]) for s in found[k]["spans"]}
+        if k < 60:
+            assert spans == {(text.split('"')[1], identifiers.SECRET)}, text
+        elif 200 <= k < 302:
+            assert spans == set(), text
+    assert {s["kind"] for s in found[302]["spans"]} == {0, identifiers.SECRET} and [s["kind"] for s in found[302]["base"]] == [0]
+    assert all("<secret>" in r["text"] for r in identifiers.mask(frame(spark, rows[:60])).collect())
+
+
+def test_confident_is_what_a_plain_walk_of_the_graph_gives(spark):
+    rng = random.Random(22)
+    seen = [(k, rng.choice([3, -1]), rng.sample(range(12), rng.randint(1, 4))) for k in range(150)]
+    edges = {(i, kind, p) for i, kind, ps in seen for p in ps}
+    n_all = {p: sum(e[2] == p for e in edges) for p in range(12)}
+    good = {}
+    for _ in range(3):
+        weight = {p: (sum(1 for i, kind, q in edges if q == p and kind == 3), sum(1 for i, kind, q in edges if q == p and kind == 3)) for p in range(12)}
+        for p in range(12):
+            gained = [good[i] for i, kind, q in edges if q == p and kind < 0 and i in good]
+            weight[p] = weight[p][0] + len(gained), weight[p][1] + sum(gained)
+        beliefs = {}
+        for i, kind, ps in seen:
+            met = [p for p in set(ps) if weight[p][0] >= 5 and n_all[p] >= 5]
+            doubt = np.prod([1 - min(weight[p][1] / (n_all[p] + 1), 0.999) for p in met])
+            if kind < 0 and 1 - doubt >= 0.9 and (len(met) >= 2 or max(weight[p][0] for p in met) >= 20):
+                beliefs[i] = 1 - doubt
+        good = beliefs
+    got = {r["instance"] for r in identifiers.confident(spark.createDataFrame(seen, "instance long, kind int, patterns array<long>")).collect()}
+    assert got == set(good) and 0 < len(got) < sum(kind < 0 for _, kind, _ in seen)
+
+
+def test_context_words_of_any_length():
+    long = "w" * 500
+    assert identifiers._nearest(f"a {long} {long} 12345", 1004, -1) == [long, long]
+    assert identifiers._nearest(f"12345 {long} b c", 5, 1) == [long, "b"] and identifiers._nearest("12345", 0, -1) == []
+
+
 def test_accepted_strings_induce_patterns(spark):
     seeds = [(k, 3, [1, 2, 3]) for k in range(60)] + [(100 + k, -1, [1, 2, 3, 4, 5, 6]) for k in range(6)] + [(200, -1, [4, 5, 6])]
     seen = spark.createDataFrame(seeds, "instance long, kind int, patterns array<long>")
@@ -488,6 +585,30 @@ def test_native_plan(spark):
 # --- pipeline
 
 
+def test_pipeline_stages_take_odd_rows(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows, a clashing column; and empty tables."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    rng = random.Random(15)
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, label string, start long, key int"
+    rows = [(k, prose(rng, 40), "en", "s", 9, "x", 1, 2) for k in range(20)]
+    rows += [(None, None, None, None, None, None, None, None), (None, prose(rng, 30), None, "s", 1, "x", 1, 2), (None, prose(rng, 30), "en", None, None, "x", 1, 2), (30, "", "en", "s", 0, "x", 1, 2), (31, None, "en", "s", 0, "x", 1, 2)]
+    rows += [(32, prose(rng, 60_000), "en", "s", 5, "x", 1, 2), (33, "y" * 300_000, "en", "s", 5, "x", 1, 2), rows[3], rows[3], (34, "a 1.2.3.4 b", "en", "s", 5, "x", 1, 2)]
+    spark.createDataFrame([(k, 1, int(k % 5 == 0)) for k in range(20)] + [(None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name, some in (("full", rows), ("none", [])):
+        now = spark.createDataFrame(some, kinds)
+        for k, (stage_name, stage) in enumerate(pipeline.STAGES):
+            stage(spark, now, str(tmp_path)).write.parquet(f"{tmp_path}/{name}{k}")
+            now = spark.read.parquet(f"{tmp_path}/{name}{k}")
+            if k < 4:
+                assert now.columns == pipeline.COLUMNS, stage_name
+                kept = sorted((str(r["doc_id"]), (r["text"] or "")[:20]) for r in now.collect())
+                want = sorted((str(r[0]), (r[1] or "")[:20]) for r in (some if k == 0 else set(some)))
+                want = [(d, t.replace("a 1.2.3.4 b", "a <ip> b")) for d, t in want] if k == 3 else want
+                assert kept == want, stage_name
+        ids = {d["doc_id"] for r in now.collect() for d in r["documents"]}
+        assert ids == {r[0] for r in some}
+
+
 def test_pipeline(spark, tmp_path):
     pipeline = pytest.importorskip("corpus_pipeline")
     rng = random.Random(14)
