@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import network as N
-from tidemark.operators import clustering, commands, grounding, intel, naming, rollups, store
+from tidemark.operators import clustering, commands, findings, grounding, intel, naming, rollups, store
 from tidemark.plans import layers
 from tidemark.sources import adapters, feeds, web
 from tidemark.streaming import rollups as streaming
@@ -136,15 +136,35 @@ def test_whole_pipeline(spark, tmp_path):
     assert sessions.where("playbook_id is not null").count() >= 0 and sessions.select("session_id").distinct().count() == 20
     assert out["infrastructure"].select("session_count", "ip_count").first() == (8, 8)
     assert out["commands"].where("command_line like 'wget%'").first()["intent"] == "execution"
+    one = out["sessions"].where("session_id = 's9-0'").first()
+    own = [r["novelty_score"] for r in out["commands"].where("command_line in ('passwd root', 'cat /etc/shadow')").collect()]
+    assert one["mean_novelty_score"] == pytest.approx(sum(own) / 2, abs=1e-4) and one["max_novelty_score"] == pytest.approx(max(own), abs=1e-4)
+    campaign = out["infrastructure"].first()
+    assert campaign["lead"] == "http://evil.example/x.sh" and campaign["lead"] in campaign["name"] and str(campaign["first_seen"]) < str(campaign["last_seen"])
+
+
+def test_findings_outlive_runs(spark, tmp_path):
+    """A second run keeps what an analyst has said; a run of the same id makes no finished layer again."""
+    target, events = f"file://{tmp_path}/all", make_events(spark)
+    first = layers.run_all(spark, events, target, run_id="a")["findings"]
+    assert {r["kind"] for r in first.collect()} >= {"campaign"} and {r["status"] for r in first.collect()} == {"new"}
+    change = spark.createDataFrame([(first.first()["finding_id"], "confirmed", "seen")], "finding_id string, to_status string, note string")
+    store.swap(findings.set_status(first, change, F.lit("2024-03-01").cast("timestamp")), f"{target}/findings")
+    marked = {r["finding_id"]: (r["status"], len(r["status_history"])) for r in spark.read.parquet(f"{target}/findings").collect()}
+    assert sorted(marked.values())[0] == ("confirmed", 1)
+    again = layers.run_all(spark, events.limit(0), target, run_id="a")
+    assert again["commands"].count() == 8  # finished before, so it was read
+    fresh = layers.run_all(spark, events, target, run_id="b")["findings"]
+    assert {r["finding_id"]: (r["status"], len(r["status_history"])) for r in fresh.collect()} == marked
 
 
 def test_stream_equals_batch(spark, tmp_path):
     events = make_events(spark)
     events.repartition(3).write.parquet(f"{tmp_path}/in")
     stream = streaming.event_stream(spark, f"{tmp_path}/in", events.schema, 1)
-    streaming.run_available(streaming.session_counts(stream, "60 days"), "counts", "complete", f"{tmp_path}/cp")
+    streaming.upsert_table(streaming.session_counts(stream, "60 days"), f"file://{tmp_path}/counts", "session_id", f"{tmp_path}/cp")
     batch = rollups.sessions(events).select("session_id", "command_count", "login_success_count")
-    got = spark.table("counts").select("session_id", "command_count", "login_success_count")
+    got = spark.read.parquet(f"{tmp_path}/counts").select("session_id", "command_count", "login_success_count")
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.collect()))
     seen = []
     fresh = streaming.new_commands(streaming.event_stream(spark, f"{tmp_path}/in", events.schema).where("command_line is not null"), "60 days")

@@ -2,6 +2,7 @@
 
 import math
 import os
+from decimal import Decimal
 
 import duckdb
 import pytest
@@ -29,7 +30,7 @@ def plain(x):
         return plain(x.tolist())
     if isinstance(x, list):
         return [plain(y) for y in x]
-    return f"{float(x):.6g}" if isinstance(x, (float, int)) and not isinstance(x, bool) else str(x)
+    return f"{float(x):.6g}" if isinstance(x, (float, int, Decimal)) and not isinstance(x, bool) else str(x)
 
 
 @pytest.mark.parametrize("name", CORE)

@@ -32,6 +32,7 @@ class Config:
     novel_at: float = 0.5
     novel_confidence: int = 4
     base64_run: int = 200
+    sample_rate: float = 0.0
     suspicious_tlds: tuple[str, ...] = ("xyz", "top", "tk", "ml", "ga", "cf", "gq", "club", "icu", "buzz", "monster", "rest", "bar", "fit", "online", "site", "stream", "cam")
     priority_weights: tuple[float, float, float, float] = (0.50, 0.20, 0.15, 0.15)
     half_life_hours: float = 168.0

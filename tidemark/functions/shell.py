@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 import shlex
 
@@ -17,37 +18,51 @@ FLAG = re.compile(r"^-{1,2}[A-Za-z][\w\-]*$")
 
 
 def command_name(token: str) -> str:
-    name = token.rpartition("/")[2].lstrip(".").lower()
-    return name if NAME.match(name) else ""
+    """The program that a word calls, without its folder and leading dots; empty if it can't be one."""
+    found = NAME.fullmatch(posixpath.basename(token).lstrip(".").lower())
+    return found[0] if found else ""
 
 
-def parse(line: str | None) -> list[tuple[str, list[str]]]:
-    """(command, flags) of each segment, each pair once; operators only as words of their own."""
+def words_of(line: str) -> list[str]:
+    """Words with quotes resolved; parted by white space alone where quotes don't close."""
     try:
-        words = shlex.split(line or "")
+        return shlex.split(line)
     except ValueError:
-        words = (line or "").split()
-    segments: list[list[str]] = [[]]
-    for w in words:
-        segments.append([]) if w in OPERATORS else segments[-1].append(w)
-    found: dict[tuple, tuple[str, list[str]]] = {}
-
-    def add(name: str, rest: list[str]) -> None:
-        flags = [w for w in rest if FLAG.match(w)]
-        found.setdefault((name, *sorted(flags)), (name, flags))
-
-    for segment in segments:
-        while segment and "=" in segment[0] and segment[0][0] != "-":
-            segment = segment[1:]
-        name = command_name(segment[0]) if segment else ""
-        if not name:
-            continue
-        add(name, segment[1:])
-        if name in MULTICALL:
-            inner = next((k for k, w in enumerate(segment[1:], 1) if not FLAG.match(w) and "=" not in w), None)
-            if inner and (sub := command_name(segment[inner])):
-                add(sub, segment[inner + 1 :])
-    return list(found.values())
+        return line.split()
+
+
+#: What the next word of a segment may be: its program, the program that a multicall one runs, an argument, or of no use.
+_PROGRAM, _APPLET, _ARGUMENT, _SKIPPED = range(4)
+
+
+def parse(line: str | None) -> list[tuple[str, list[str]]]:
+    """(command, flags) of each segment, each command with the same flags once.
+
+    One pass over the words; `running` has the programs of the segment that are known so far, which all
+    get its further flags. An operator ends the segment.
+    """
+    distinct: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    running: list[tuple[str, list[str]]] = []
+    awaited = _PROGRAM
+    for word in [*words_of(line or ""), ";"]:
+        if word in OPERATORS:
+            for name, flags in running:
+                distinct.setdefault((name, tuple(sorted(flags))), flags)
+            running, awaited = [], _PROGRAM
+        elif awaited == _PROGRAM:
+            if "=" in word and not word.startswith("-"):
+                continue  # an assignment before the program
+            if name := command_name(word):
+                running.append((name, []))
+            awaited = _SKIPPED if not name else _APPLET if name in MULTICALL else _ARGUMENT
+        elif awaited != _SKIPPED and FLAG.match(word):
+            for _, flags in running:
+                flags.append(word)
+        elif awaited == _APPLET and "=" not in word:
+            if name := command_name(word):
+                running.append((name, []))
+            awaited = _ARGUMENT
+    return [(name, flags) for (name, _), flags in distinct.items()]
 
 
 def commands(line: Column) -> Column:

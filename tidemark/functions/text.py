@@ -6,8 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import DEFAULT
+from . import network as N
 
-#: What separates words, as Python's str.split sees it (fixed value).
+# Patterns whose matches decide ids and reasons, so they must be these.
+#: What separates words, as Python's str.split sees it.
 SPACES = r"(?U)[\s\x1c-\x1f]+"
 URL = r"(?i)https?://[A-Za-z0-9._\-]+(?:\:\d+)?(?:/[A-Za-z0-9._\-/?=&%+~:]*)?"
 SSH_KEY = r"ssh-(?:rsa|dss|ed25519|ecdsa-[A-Za-z0-9-]+)\s+[A-Za-z0-9+/=]{40,}"
@@ -81,8 +83,10 @@ def has_ipv4(text: Column) -> Column:
 
 
 def has_rare_tld(text: Column, tlds: tuple[str, ...] = DEFAULT.suspicious_tlds) -> Column:
+    """Whether a host of such a domain is fetched. The whole pattern is only tried on texts that have its end."""
     found = F.transform(F.regexp_extract_all(text, F.lit(TLD), 1), F.lower)
-    return F.arrays_overlap(found, F.array(*[F.lit(t) for t in tlds]))
+    hit = F.arrays_overlap(found, F.array(*[F.lit(t) for t in tlds]))
+    return F.when(text.rlike(rf"(?i)[a-z0-9-]\.(?:{'|'.join(tlds)})\b"), hit).otherwise(F.when(text.isNotNull(), F.lit(False)))
 
 
 def artifacts(text: Column) -> Column:
@@ -95,6 +99,38 @@ def artifacts(text: Column) -> Column:
     return F.array_distinct(F.concat(as_kind("url", urls), as_kind("ssh_key", keys), as_kind("hash", F.array_union(named, bare))))
 
 
+def validated_iocs(urls: Column, hashes: Column, command: Column) -> Column:
+    """array<struct<kind,value>> of a model's URLs and hashes that stand up: whole URLs; hex digests in a command with a digest tool."""
+    none = F.array().cast("array<string>")
+    pair = lambda kind: lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
+    good_urls = F.filter(F.transform(F.coalesce(urls, none), F.trim), lambda u: u.rlike(f"^(?:{URL})$"))
+    good_hashes = F.when(command.rlike(HASH_TOOL), F.filter(F.transform(F.coalesce(hashes, none), lambda h: F.lower(F.trim(h))), lambda h: h.rlike(f"^{HEX}$"))).otherwise(none)
+    return F.array_distinct(F.concat(F.transform(good_urls, pair("url")), F.transform(good_hashes, pair("hash"))))
+
+
+def listed_iocs(kind: str, values: Column) -> Column:
+    """A model's list of ips, hashes, domains, urls or files, cleaned, without what can't be one; order and repeats stay."""
+    own = F.coalesce(values, F.array().cast("array<string>"))
+    stripped = F.transform(own, F.trim)
+    if kind == "ips":
+        bare = F.transform(stripped, lambda v: F.regexp_replace(F.regexp_replace(v, r"\.+$", ""), r"^[\[\]]+|[\[\]]+$", ""))
+        return F.filter(bare, lambda v: (v != "") & N.canonical_ip(v).isNotNull())
+    if kind == "hashes":
+        return F.filter(F.transform(stripped, F.lower), lambda v: v.rlike(f"^{HEX}$"))
+    if kind == "domains":
+        lower = F.transform(stripped, lambda v: F.lower(F.regexp_replace(v, r"\.+$", "")))
+        return F.filter(lower, lambda v: v.rlike(r"^(?:[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?\.)+[a-z]{2,63}$"))
+    if kind == "urls":
+        return F.filter(stripped, has_url_scheme)
+    if kind == "files":
+        return F.filter(stripped, lambda v: ~v.contains(" ") & v.rlike(r"(?U)[\p{L}\p{N}]"))
+    raise ValueError(f"unknown kind of indicator: {kind}")
+
+
+def has_url_scheme(value: Column) -> Column:
+    return value.rlike(r"(?i)^(?:https?|ftps?|tftp)://.")
+
+
 def clean_name(name: Column, words: int = 5) -> Column:
     """Without outer quotes and a last dot, at most so many words."""
     plain = F.regexp_replace(F.trim(name), r"""^["'`]+|["'`]+$""", "")

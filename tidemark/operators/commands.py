@@ -17,10 +17,19 @@ def dedup(events: DataFrame, config: Config = DEFAULT) -> DataFrame:
     """One row a normalised command: counts, distinct sessions and addresses, first and last time."""
     hashed = with_hash(events.where(F.coalesce(F.col("command_line"), F.lit("")) != ""), config)
     over = T.truncated(F.col("command_line"), config.command_chars)
-    return hashed.groupBy("command_hash").agg(
-        F.min("command_text").alias("command_line"), F.max(over).alias("truncated"), F.count("*").alias("occurrence_count"),
-        F.countDistinct("session_id").alias("unique_sessions"), F.countDistinct("source_ip").alias("unique_source_ips"),
-        F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"),
+    # a row for each session and address first; the text is a grouping key, so it moves once and is never expanded
+    per = hashed.groupBy("command_hash", "command_text", "session_id", "source_ip").agg(
+        F.max(over).alias("over"), F.count("*").alias("n"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen")
+    )
+    sums = per.groupBy("command_hash", F.col("command_text").alias("command_line")).agg(
+        F.max("over").alias("truncated"), F.sum("n").alias("occurrence_count"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
+    )
+    each = lambda c, name: per.where(F.col(c).isNotNull()).select("command_hash", c).distinct().groupBy("command_hash").agg(F.count("*").alias(name))
+    out = sums.join(each("session_id", "unique_sessions"), "command_hash", "left").join(each("source_ip", "unique_source_ips"), "command_hash", "left")
+    none = F.lit(0).cast("long")
+    return out.select(
+        "command_hash", "command_line", "truncated", "occurrence_count", F.coalesce("unique_sessions", none).alias("unique_sessions"),
+        F.coalesce("unique_source_ips", none).alias("unique_source_ips"), "first_seen", "last_seen",
     )
 
 
@@ -63,6 +72,8 @@ def triage_reasons(command: Column, confidence: Column, novelty: Column | None =
     """Ordered reason codes of the rules that fire."""
     none = F.lit(None).cast("string")
     novel = F.lit(False) if novelty is None else (novelty >= config.novel_at) & (confidence >= config.novel_confidence)
+    rate = int(config.sample_rate * (1 << 24))
+    sampled = F.conv(F.substring(T.full_hash(command), 17, 6), 16, 10).cast("int") < rate  # by the text, so a re-run samples the same
     checks = [
         F.when(F.lit(False) if failed is None else failed, F.lit("local_failed")),
         F.when(confidence <= config.low_confidence, F.lit(f"low_confidence<={config.low_confidence}")),
@@ -70,6 +81,7 @@ def triage_reasons(command: Column, confidence: Column, novelty: Column | None =
         F.when(T.has_ipv4(command), F.lit("ip_literal")),
         F.when(T.has_rare_tld(command, config.suspicious_tlds), F.lit("rare_tld")),
         F.when(novel, F.lit("novel_embedding")),
+        *([F.when(sampled, F.lit("sample"))] if rate else []),
     ]
     return F.array_distinct(F.array_compact(F.array(*[F.coalesce(c, none) for c in checks])))
 

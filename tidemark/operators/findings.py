@@ -10,6 +10,8 @@ from ..functions import vectors as V
 
 STATUSES = ("new", "triaged", "confirmed", "dismissed")
 KINDS = ("playbook", "campaign")
+#: A stored finding.
+STORED = "finding_id string, kind string, value string, score double, status string, status_history array<struct<ts:timestamp,from:string,to:string,note:string>>, first_seen_at timestamp, last_seen_at timestamp"
 
 
 def playbook_findings(sessions: DataFrame) -> DataFrame:

@@ -63,13 +63,17 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", checkpoint: bool =
     keep = (lambda df: df.checkpoint()) if checkpoint and spark.sparkContext.getCheckpointDir() else (lambda df: df.persist())
     both = keep(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(F.col(b), F.col(a))).distinct())
     labels = keep(both.groupBy("x").agg(F.least(F.min("y"), F.min("x")).alias("l")).withColumnRenamed("x", "node"))
+    before = labels
     while True:
         near = both.join(labels, F.col("y") == F.col("node")).groupBy("x").agg(F.min("l").alias("m"))
         hooked = labels.join(near, F.col("node") == F.col("x")).select("node", "l", F.least("l", "m").alias("new"))
         top = hooked.select(F.col("node").alias("t"), F.col("new").alias("t_new"))
         step = keep(hooked.join(top, F.col("new") == F.col("t")).select("node", F.col("t_new").alias("l"), (F.col("t_new") != F.col("l")).alias("moved")))
-        labels = step.select("node", "l")
-        if step.where("moved").isEmpty():
+        moved = step.where("moved").count()  # all of it is there from now on
+        before.unpersist()
+        labels, before = step.select("node", "l"), step
+        if not moved:
+            both.unpersist()
             return labels.select("node", F.col("l").alias("component"))
 
 
@@ -83,22 +87,67 @@ def artifact_weights(session_artifacts: DataFrame) -> DataFrame:
 def infrastructure_campaigns(session_artifacts: DataFrame, min_sessions: int = DEFAULT.infra_sessions, min_ips: int = DEFAULT.infra_ips, top: int = DEFAULT.fingerprint_artifacts) -> DataFrame:
     """Sessions that hang together by artifacts that at least two of them share.
 
-    session_artifacts: (session_id, source_ip, kind, value). Sessions and artifacts are the nodes of a
-    star graph, so no pairs of sessions are made.
+    session_artifacts: (session_id, source_ip, kind, value) and, if known, start_ts and end_ts of the
+    session. Sessions and artifacts are the nodes of a star graph, so no pairs of sessions are made. The lead
+    of a campaign is the first URL among its ranked artifacts, or else the first one.
     """
-    rows = session_artifacts.distinct()
+    timed = "start_ts" in session_artifacts.columns
+    rows = session_artifacts.select("session_id", "source_ip", "kind", "value").distinct()
     weights = artifact_weights(rows)
     shared = rows.join(weights.where("df >= 2"), ["kind", "value"])
     node = F.concat_ws("\x1f", F.lit("artifact"), "kind", "value")
     found = components(shared.select(F.concat(F.lit("s\x1f"), "session_id").alias("a"), node.alias("b")))
     members = found.where(F.col("node").startswith("s\x1f")).select(F.substring("node", 3, 1 << 20).alias("session_id"), "component")
-    placed = rows.select("session_id", "source_ip").distinct().join(members, "session_id")
-    groups = placed.groupBy("component").agg(F.countDistinct("session_id").alias("session_count"), F.countDistinct("source_ip").alias("ip_count"))
+    own = ["session_id", "source_ip", *(["start_ts", "end_ts"] if timed else [])]
+    placed = session_artifacts.select(*own).distinct().join(members, "session_id")
+    times = [F.min("start_ts").alias("first_seen"), F.max("end_ts").alias("last_seen")] if timed else [F.lit(None).cast("timestamp").alias(c) for c in ("first_seen", "last_seen")]
+    groups = placed.groupBy("component").agg(F.countDistinct("session_id").alias("session_count"), F.countDistinct("source_ip").alias("ip_count"), *times)
     groups = groups.where((F.col("session_count") >= min_sessions) & (F.col("ip_count") >= min_ips))
     groups = groups.join(least_members(placed, "component", "source_ip", 50, "member_source_ips"), "component")
-    tally = shared.join(members, "session_id").groupBy("component", "kind", "value").agg(F.countDistinct("session_id").alias("n"), F.first("idf").alias("idf"))
-    order = Window.partitionBy("component").orderBy(F.desc(F.round(F.col("n") * F.col("idf"), 9)), "kind", "value")
-    best = tally.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
-    prints = best.groupBy("component").agg(F.transform(F.array_sort(F.collect_list(F.struct("rank", "kind", "value"))), lambda x: F.concat_ws("=", x["kind"], x["value"])).alias("fingerprint"))
+    best = ranked_artifacts(shared.join(members, "session_id"), "component", top)
+    ranked = F.array_sort(F.collect_list(F.struct("rank", "kind", "value", "n")))
+    prints = best.groupBy("component").agg(ranked.alias("ranked"))
     out = groups.join(prints, "component")
-    return out.select(F.concat(F.lit("cmp-inf-"), T.hash16(F.array_join("fingerprint", "|"))).alias("campaign_id"), F.lit("infrastructure").alias("kind"), "session_count", "ip_count", "member_source_ips", "fingerprint")
+    named = lambda x: F.concat_ws("=", x["kind"], x["value"])
+    fingerprint = F.transform("ranked", named)
+    urls = F.filter("ranked", lambda x: x["kind"] == "url")
+    lead = F.when(F.size(urls) > 0, F.get(urls, F.lit(0))["value"]).otherwise(F.get(F.col("ranked"), F.lit(0))["value"])
+    return out.select(
+        F.concat(F.lit("cmp-inf-"), T.hash16(F.array_join(fingerprint, "|"))).alias("campaign_id"), F.lit("infrastructure").alias("kind"), "session_count", "ip_count", "member_source_ips",
+        fingerprint.alias("fingerprint"), lead.alias("lead"), F.concat(F.lit("Shared artifact: "), T.label(lead)).alias("name"),
+        F.format_string("%d sessions of %d addresses hang together by %d shared artifacts", "session_count", "ip_count", F.size("ranked")).alias("rationale"), "first_seen", "last_seen",
+    )
+
+
+def ranked_artifacts(shared: DataFrame, key: str, top: int = DEFAULT.fingerprint_artifacts) -> DataFrame:
+    """(key, kind, value, n, rank): each key's artifacts by sessions times inverse document frequency, the first ones."""
+    tally = shared.groupBy(key, "kind", "value").agg(F.countDistinct("session_id").alias("n"), F.first("idf").alias("idf"))
+    order = Window.partitionBy(key).orderBy(F.desc(F.round(F.col("n") * F.col("idf"), 9)), "kind", "value")
+    return tally.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).drop("idf")
+
+
+def model_artifacts(iocs: DataFrame, commands: DataFrame) -> DataFrame:
+    """(command_hash, kind, value): what a model names in a command, as far as the command bears it out.
+
+    iocs: (command_hash, urls, hashes); commands: (command_hash, command_line, ts), of which the first seen
+    is the sample. A URL must be one as a whole; a hash must have a digest's length and stand in a command that
+    makes or checks digests.
+    """
+    sample = commands.groupBy("command_hash").agg(F.min_by("command_line", F.struct("ts", "command_line")).alias("sample"))
+    known = iocs.join(sample, "command_hash", "left")
+    pairs = T.validated_iocs(F.col("urls"), F.col("hashes"), F.coalesce("sample", F.lit("")))
+    return known.select("command_hash", F.explode(pairs).alias("a")).select("command_hash", "a.kind", "a.value").distinct()
+
+
+def all_artifacts(from_text: DataFrame, runs: DataFrame, from_model: DataFrame) -> DataFrame:
+    """(session_id, source_ip, kind, value): artifacts of the texts and, by the commands that sessions ran, those of the model."""
+    of_model = runs.select("session_id", "source_ip", "command_hash").distinct().join(from_model, "command_hash").select("session_id", "source_ip", "kind", "value")
+    return from_text.select("session_id", "source_ip", "kind", "value").unionByName(of_model).distinct()
+
+
+def campaigns(kind: str, sessions: DataFrame, artifacts: DataFrame) -> list[DataFrame]:
+    """Campaigns of one kind (behaviour, infrastructure) or of all."""
+    makers = {"behaviour": lambda: behaviour_campaigns(sessions), "infrastructure": lambda: infrastructure_campaigns(artifacts)}
+    if kind not in (*makers, "all"):
+        raise ValueError(f"unknown kind of campaign: {kind}")
+    return [make() for name, make in makers.items() if kind in (name, "all")]

@@ -13,7 +13,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 
 #: Intents that an enrichment may have (fixed values).
-INTENTS = ("reconnaissance", "execution", "persistence", "privilege_escalation", "defense_evasion", "credential_access", "discovery", "lateral_movement", "collection", "exfiltration", "impact", "unknown")
+INTENTS = (
+    "reconnaissance", "initial_access", "execution", "persistence", "privilege_escalation", "defense_evasion", "credential_access", "discovery",
+    "lateral_movement", "collection", "command_and_control", "exfiltration", "impact", "cryptomining", "benign", "unknown",
+)
 
 
 def embed_text(command: Column, intent: Column, description: Column, siblings: Column) -> Column:
@@ -82,7 +85,10 @@ def collisions(current: DataFrame, earlier: DataFrame) -> DataFrame:
 
 def newest_names(runs: DataFrame) -> DataFrame:
     """(playbook_id, playbook_name, samples) over runs: the newest name wins, samples are united."""
-    return runs.groupBy("playbook_id").agg(F.max_by("playbook_name", F.struct("ts", "playbook_name")).alias("playbook_name"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("samples")))).alias("samples"))
+    newest = runs.groupBy("playbook_id").agg(F.max_by("playbook_name", F.struct("ts", "playbook_name")).alias("playbook_name"))
+    each = runs.select("playbook_id", F.explode("samples").alias("sample")).distinct()  # before they are collected
+    united = each.groupBy("playbook_id").agg(F.array_sort(F.collect_list("sample")).alias("samples"))
+    return newest.join(united, "playbook_id", "left").select("playbook_id", "playbook_name", F.coalesce("samples", F.array().cast("array<string>")).alias("samples"))
 
 
 def default_name(top_commands: Column, intent: Column) -> Column:

@@ -57,6 +57,25 @@ def least_members(rows: DataFrame, key: str, member: str, n: int, name: str) ->
     return ranked.groupBy(key).agg(F.array_sort(F.collect_list(member)).alias(name))
 
 
+def command_sequences(events: DataFrame, first: int = 15, key: str = "session_id") -> DataFrame:
+    """(key, sequence, total): the first commands of each session in order, and how many it has.
+
+    Commands are ranked by a window, which spills; only the first ones are collected.
+    """
+    rows = events.where(F.col("action") == "command.input")
+    order = Window.partitionBy(key).orderBy("ts", "command_line")
+    kept = rows.select(key, "ts", "command_line", F.row_number().over(order).alias("place")).where(F.col("place") <= first)
+    begun = kept.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("place", "command_line"))), lambda x: x["command_line"]).alias("sequence"))
+    return begun.join(rows.groupBy(key).agg(F.count("*").alias("total")), key)
+
+
+def command_scores(commands: DataFrame, key: str = "session_id") -> DataFrame:
+    """Per key the mean and maximum novelty and the mean confidence of its commands (key, novelty_score, confidence)."""
+    return commands.groupBy(key).agg(
+        F.round(F.avg("novelty_score"), 4).alias("mean_novelty_score"), F.round(F.max("novelty_score"), 4).alias("max_novelty_score"), F.round(F.avg("confidence"), 2).alias("mean_confidence")
+    )
+
+
 def credentials(events: DataFrame, key: str = "session_id", cap: int = DEFAULT.credential_cap) -> DataFrame:
     pairs = events.withColumn("pair", T.credential(F.col("user_name"), F.col("password")))
     return events.select(key).distinct().join(least_members(pairs, key, "pair", cap, "credentials"), key, "left").select(key, F.coalesce("credentials", F.array().cast("array<string>")).alias("credentials"))

@@ -35,11 +35,18 @@ def swap(df: DataFrame, path: str, least_rows: int = 0) -> int:
     if n < least_rows:
         fs.delete(fresh, True)
         raise ValueError(f"{n} rows were written, {least_rows} are wanted")
+    # the old table is moved aside and goes last, so at every moment one of both is whole
     _, old = _fs(spark, path)
-    if fs.exists(old):
-        fs.delete(old, True)
+    _, aside = _fs(spark, f"{new}-old")
+    there = fs.exists(old)
+    if there and not fs.rename(old, aside):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(fresh, old):
+        if there:
+            fs.rename(aside, old)
         raise OSError(f"could not move {new} to {path}")
+    if there:
+        fs.delete(aside, True)
     spark.catalog.refreshByPath(path)
     return n
 

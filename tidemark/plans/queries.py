@@ -515,13 +515,12 @@ def scalar_spread(spark, d):
 
 @query("SELECT e.session_id, array_to_string(list(command_line ORDER BY ts, command_line)[1:15], '|') AS sequence, count(*) AS total FROM ev e WHERE action = 'command.input' GROUP BY 1", (EV,))
 def command_sequences(spark, d):
-    c = A.events(spark, d).where("action = 'command.input'").groupBy("session_id").agg(F.array_sort(F.collect_list(F.struct("ts", "command_line"))).alias("s"), F.count("*").alias("total"))
-    return c.select("session_id", F.array_join(F.transform(F.slice("s", 1, 15), lambda x: x["command_line"]), "|").alias("sequence"), "total")
+    return rollups.command_sequences(A.events(spark, d)).withColumn("sequence", F.array_join("sequence", "|"))
 
 
 @query()
 def hdbscan_labels(spark, d):
-    v = A.vectors(spark, d).withColumn("layer", F.lit("session")).where("id < 2000")
+    v = A.vectors(spark, d).withColumn("layer", F.lit("session"))
     return clustering.density_clusters(v, "layer")
 
 
@@ -538,15 +537,17 @@ def quality_sessions(spark, d):
 
 @query(f"SELECT session_id, {sql_stamp('min(ts)')} AS start_ts, {sql_stamp('max(ts)')} AS end_ts, count(*) AS events, count(*) FILTER (action = 'command.input') AS command_count, count(*) FILTER (action = 'login.success') AS login_success_count FROM ev GROUP BY 1", (EV,))
 def stream_session_rollup(spark, d):
+    import tempfile
     import uuid
 
     from ..streaming import rollups as S
 
     raw = spark.readStream.schema(table(spark, d, "events").schema).parquet(f"{d}/event[s].parquet")
-    name = f"tidemark_{uuid.uuid4().hex}"
-    q = S.session_counts(A.as_events(raw), "60 days").writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True).start()
-    q.awaitTermination()
-    out = spark.table(name)
+    # the folder that all executors share; a local one serves a single machine only
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tidemark-")
+    name = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+    S.upsert_table(S.session_counts(A.as_events(raw), "60 days"), f"{name}/table", "session_id", f"{name}/checkpoint")
+    out = spark.read.parquet(f"{name}/table")
     return out.select("session_id", stamp("start_ts").alias("start_ts"), stamp("end_ts").alias("end_ts"), "events", "command_count", "login_success_count")
 
 

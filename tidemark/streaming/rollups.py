@@ -30,13 +30,21 @@ def new_commands(events: DataFrame, late: str = "1 day") -> DataFrame:
     return hashed.withWatermark("ts", late).dropDuplicatesWithinWatermark(["command_hash"])
 
 
-def run_available(stream: DataFrame, table: str, mode: str, checkpoint: str) -> None:
-    """Processes what is there, keeps its place in the checkpoint, and stops."""
-    q = stream.writeStream.outputMode(mode).format("memory").queryName(table).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    try:
-        q.awaitTermination()
-    finally:
-        q.stop()
+def upsert_table(stream: DataFrame, path: str, key: str, checkpoint: str) -> None:
+    """Keeps a table of the latest row of each key: a stream in update mode replaces what its batches have anew.
+
+    State lives as long as the stream's watermark says; the table is swapped as a whole, so a batch that
+    is run again leaves it the same.
+    """
+    from ..operators import findings, store
+
+    def merge(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        stored = spark.read.parquet(path) if store.exists(spark, path) else batch.limit(0)
+        store.swap(findings.replaced(stored, batch, key), path)
+
+    q = stream.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
 
 
 def upsert_batches(stream: DataFrame, merge, checkpoint: str) -> None:
