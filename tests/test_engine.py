@@ -158,6 +158,51 @@ def test_findings_outlive_runs(spark, tmp_path):
     assert {r["finding_id"]: (r["status"], len(r["status_history"])) for r in fresh.collect()} == marked
 
 
+def test_verbs(spark, tmp_path):
+    from tidemark import cli
+
+    target = f"file://{tmp_path}/t"
+    call = lambda *a: cli.main([target, *a, "--as-of", "2024-02-01"])
+    assert not any(call("healthcheck").values()) and all(call("bootstrap").values()) and all(call("init-indexes").values())
+    store.swap(make_events(spark), f"{target}/events")
+    assert call("enrich") == {"commands": 8} and call("rollup") == {"session_rollup": 20} and call("cluster")["documents"] == 20
+    assert call("rollup", "--layer", "addresses") == {"addresses": 12} and call("name")["playbooks"] >= 1
+    mined = call("mine")
+    assert mined["infrastructure"] == 1 and mined["findings"] >= 1 and call("mine", "--kind", "infrastructure")["infrastructure"] == 1
+    assert call("re-enrich-stale")["stale"] == 8 and call("bless-cache") == {"cache": 8} and call("re-enrich-stale")["stale"] == 0
+    assert call("re-triage") == {"commands": 8} and call("re-triage", "--days", "1") == {"commands": 8} and call("reembed") == {"commands": 8}
+    assert call("escalate", "--budget", "0.02")["escalated"] <= 2 and call("intel", "--limit", "5") == {"queue": 5} and call("budget") == {}
+    assert call("pipeline", "--run-id", "x")["sessions"] == 20 and call("rollup", "--closed", "login.success") == {"session_rollup": 20}
+    assert "commands" in call("reset")["dropped"] and not call("healthcheck")["commands"] and call("healthcheck")["events"]
+
+
+def test_weights_stand_for_equal_points():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    for seed in range(12):
+        points = np.concatenate([rng.normal(c, 0.05 + 0.1 * (seed % 3), (6, 2)) for c in ((0, 0), (3, 0), (0, 3))] + [rng.uniform(-2, 6, (4, 2))])
+        weights = rng.integers(1, 5, len(points))
+        whole = clustering.hdbscan(np.repeat(points, weights, axis=0), 4, 3)
+        short = clustering.hdbscan(points, 4, 3, weights)
+        groups = lambda labels, owners: {frozenset(owners[labels == k].tolist()) for k in set(labels.tolist()) - {-1}}
+        assert groups(whole, np.repeat(np.arange(len(points)), weights)) == groups(short, np.arange(len(points)))
+
+
+def test_settings(tmp_path):
+    from tidemark.config import DEFAULT, load
+    from tidemark.operators import campaign_text
+
+    (tmp_path / "a.json").write_text('{"merge_slack": 0.1, "suspicious_tlds": ["zip"]}')
+    found = load(str(tmp_path / "a.json"), str(tmp_path / "none.json"), environment={"TIDEMARK_INFRA_IPS": "7", "OTHER": "x"})
+    assert (found.merge_slack, found.suspicious_tlds, found.infra_ips, found.infra_sessions) == (0.1, ("zip",), 7, DEFAULT.infra_sessions)
+    (tmp_path / "b.json").write_text('{"nothing": 1}')
+    with pytest.raises(ValueError):
+        load(str(tmp_path / "b.json"), environment={})
+    assert campaign_text.fingerprint({"a": 1, "b": 2}) == campaign_text.fingerprint({"b": 2, "a": 1}) != campaign_text.fingerprint({"a": 1})
+    assert campaign_text.file_fingerprint(str(tmp_path / "a.json")) != campaign_text.file_fingerprint(str(tmp_path / "none.json"))
+
+
 def test_stream_equals_batch(spark, tmp_path):
     events = make_events(spark)
     events.repartition(3).write.parquet(f"{tmp_path}/in")

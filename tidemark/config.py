@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import os
+from dataclasses import dataclass, fields, replace
+from pathlib import Path
 
 
 @dataclass(frozen=True)
@@ -41,3 +44,21 @@ class Config:
 
 
 DEFAULT = Config()
+
+
+def load(*files: str, environment: dict[str, str] | None = None, prefix: str = "TIDEMARK_") -> Config:
+    """The defaults, overlaid by JSON files in order and then by the environment (PREFIX_NAME, values in JSON).
+
+    A file that is missing is skipped; a name that is no setting is an error.
+    """
+    known = {f.name: f.type for f in fields(Config)}
+    found: dict = {}
+    for file in files:
+        if Path(file).is_file():
+            found |= json.loads(Path(file).read_text())
+    for name, value in (os.environ if environment is None else environment).items():
+        if name.startswith(prefix) and name[len(prefix) :].lower() in known:
+            found[name[len(prefix) :].lower()] = json.loads(value)
+    if unknown := sorted(set(found) - set(known)):
+        raise ValueError(f"no such settings: {unknown}")
+    return replace(DEFAULT, **{k: tuple(v) if isinstance(v, list) else v for k, v in found.items()})

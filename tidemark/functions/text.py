@@ -103,7 +103,7 @@ def validated_iocs(urls: Column, hashes: Column, command: Column) -> Column:
     """array<struct<kind,value>> of a model's URLs and hashes that stand up: whole URLs; hex digests in a command with a digest tool."""
     none = F.array().cast("array<string>")
     pair = lambda kind: lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value"))
-    good_urls = F.filter(F.transform(F.coalesce(urls, none), F.trim), lambda u: u.rlike(f"^(?:{URL})$"))
+    good_urls = F.filter(F.transform(F.coalesce(urls, none), lambda u: F.trim(u)), lambda u: u.rlike(f"^(?:{URL})$"))
     good_hashes = F.when(command.rlike(HASH_TOOL), F.filter(F.transform(F.coalesce(hashes, none), lambda h: F.lower(F.trim(h))), lambda h: h.rlike(f"^{HEX}$"))).otherwise(none)
     return F.array_distinct(F.concat(F.transform(good_urls, pair("url")), F.transform(good_hashes, pair("hash"))))
 
@@ -111,7 +111,7 @@ def validated_iocs(urls: Column, hashes: Column, command: Column) -> Column:
 def listed_iocs(kind: str, values: Column) -> Column:
     """A model's list of ips, hashes, domains, urls or files, cleaned, without what can't be one; order and repeats stay."""
     own = F.coalesce(values, F.array().cast("array<string>"))
-    stripped = F.transform(own, F.trim)
+    stripped = F.transform(own, lambda v: F.trim(v))
     if kind == "ips":
         bare = F.transform(stripped, lambda v: F.regexp_replace(F.regexp_replace(v, r"\.+$", ""), r"^[\[\]]+|[\[\]]+$", ""))
         return F.filter(bare, lambda v: (v != "") & N.canonical_ip(v).isNotNull())

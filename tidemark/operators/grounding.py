@@ -58,7 +58,7 @@ def stix_ids(spark: SparkSession, path: str) -> DataFrame:
 
 def page_summary(markdown: Column, most: int = 2000) -> Column:
     """Summary and example lines of a help page, cut at a word."""
-    lines = F.transform(F.split(markdown, "\n"), F.trim)
+    lines = F.transform(F.split(markdown, "\n"), lambda x: F.trim(x))
     kept = F.filter(lines, lambda x: x.startswith(">") | x.startswith("- ") | x.startswith("`"))
     plain = F.array_join(F.transform(kept, lambda x: F.trim(F.regexp_replace(x, "^[>-]|`", ""))), "\n")
     return F.when(F.length(plain) > most, F.regexp_extract(F.substring(plain, 1, most), r"(?s)\A(.*)\s", 1)).otherwise(plain)

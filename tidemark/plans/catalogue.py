@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import more_queries as _more  # registers its queries
+from . import domain_queries as _domain  # registers its queries, as does the next
+from . import more_queries as _more
 from .queries import QUERIES, SQL
 
 
-assert _more
+assert _domain and _more
 
 
 def queries() -> dict:

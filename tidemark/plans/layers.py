@@ -50,9 +50,9 @@ def session_layer(events: DataFrame, command_rows: DataFrame) -> DataFrame:
 
 
 def with_clusters(rows: DataFrame, layer: str) -> DataFrame:
-    """rows with cluster_id; the density clustering takes the layer's distinct vectors."""
-    vectors = rows.where("embedding IS NOT NULL").select("embedding").distinct().withColumns({"layer": F.lit(layer), "id": F.xxhash64("embedding")})
-    labels = clustering.density_clusters(vectors, "layer").select("id", "cluster_id")
+    """rows with cluster_id; the density clustering takes the layer's distinct vectors with their numbers."""
+    vectors = rows.where("embedding IS NOT NULL").groupBy("embedding").agg(F.count("*").alias("n")).withColumns({"layer": F.lit(layer), "id": F.xxhash64("embedding")})
+    labels = clustering.density_clusters(vectors, "layer", weight="n").select("id", "cluster_id")
     return rows.withColumn("id", F.when(F.col("embedding").isNotNull(), F.xxhash64("embedding"))).join(labels, "id", "left").drop("id")
 
 
@@ -69,6 +69,13 @@ def clustered(sessions: DataFrame, config: Config = DEFAULT) -> DataFrame:
     return rows.join(books, "cluster_id", "left")
 
 
+def session_artifacts(events: DataFrame, sessions: DataFrame) -> DataFrame:
+    """(session_id, source_ip, kind, value, start_ts, end_ts): what the sessions' commands name."""
+    texts = events.where("action = 'command.input'")
+    found = texts.select("session_id", "source_ip", F.explode(T.artifacts(F.col("command_line"))).alias("a")).select("session_id", "source_ip", "a.kind", "a.value").distinct()
+    return found.join(sessions.select("session_id", "start_ts", "end_ts"), "session_id")
+
+
 def mined_findings(sessions: DataFrame, *campaigns: DataFrame) -> DataFrame:
     """Findings of playbooks and of campaigns of every kind."""
     out = findings.playbook_findings(sessions)
@@ -92,11 +99,6 @@ def run_all(spark: SparkSession, events: DataFrame, target: str, models: Models
                 spark.range(1).write.mode("overwrite").parquet(done)
         return spark.read.parquet(path)
 
-    def artifacts() -> DataFrame:
-        texts = events.where("action = 'command.input'")
-        found = texts.select("session_id", "source_ip", F.explode(T.artifacts(F.col("command_line"))).alias("a")).select("session_id", "source_ip", "a.kind", "a.value").distinct()
-        return found.join(out["session_rollup"].select("session_id", "start_ts", "end_ts"), "session_id")
-
     def all_findings() -> DataFrame:
         mined, path = mined_findings(out["sessions"], out["behaviour"], out["infrastructure"]), f"{target}/findings"
         stored = spark.read.parquet(path) if store.exists(spark, path) else spark.createDataFrame([], findings.STORED)
@@ -108,7 +110,7 @@ def run_all(spark: SparkSession, events: DataFrame, target: str, models: Models
     out["sessions"] = keep(lambda: clustered(out["session_rollup"], config), "sessions")
     out["addresses"] = keep(lambda: rollups.addresses(out["sessions"]), "addresses")
     out["behaviour"] = keep(lambda: mining.behaviour_campaigns(out["sessions"], config.itemset_support), "behaviour")
-    out["infrastructure"] = keep(lambda: mining.infrastructure_campaigns(artifacts(), config.infra_sessions, config.infra_ips), "infrastructure")
+    out["infrastructure"] = keep(lambda: mining.infrastructure_campaigns(session_artifacts(events, out["session_rollup"]), config.infra_sessions, config.infra_ips), "infrastructure")
     out["findings"] = keep(all_findings, "findings")
     return out
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import network as N
 from ..functions import text as T
 from ..functions import verdicts as R
-from ..operators import commands, console, grounding, intel, naming, rollups, store
+from ..operators import commands, grounding, intel, naming, rollups, search, store
 from ..sources import adapters as A
 from ..sources.adapters import EV, table
 from .queries import AS_OF, SES, query, sql_stamp, stamp
@@ -123,12 +123,10 @@ def web_projection(spark, d):
     return out.select(F.col("source_ip").cast("long").alias("page_id"), "method", "destination_port", F.lower("domain").alias("domain"), "message", "body_bytes")
 
 
-@query("SELECT 'command' AS kind, id, score FROM (SELECT command_line AS id, CASE WHEN contains(command_line, 'click') THEN 2.0 ELSE 0.0 END + CASE WHEN contains(command_line, 'k=77') THEN 1.0 ELSE 0.0 END AS score FROM (SELECT DISTINCT command_line FROM ev)) WHERE score > 0 ORDER BY score DESC, id LIMIT 20", (EV,))
+@query("SELECT 'command' AS kind, command_line AS id, CAST(CASE WHEN contains(command_line, 'click k=77') THEN 1 ELSE 0 END + 2 * (CASE WHEN event_type = 'click' THEN 1 ELSE 0 END + 1 + CASE WHEN k = 77 THEN 1 ELSE 0 END) AS DOUBLE) AS score FROM (SELECT DISTINCT command_line, event_type, k FROM ev) ORDER BY score DESC, id LIMIT 20", (EV,))
 def free_text_search(spark, d):
-    c = commands.dedup(A.events(spark, d)).select(F.lit("command").alias("kind"), F.col("command_line").alias("id"))
-    score = F.when(F.contains("id", F.lit("click")), 2.0).otherwise(0.0) + F.when(F.contains("id", F.lit("k=77")), 1.0).otherwise(0.0)
-    hits = console.best_of_each(c.withColumn("score", score).where("score > 0"), "id", F.desc("score"))
-    return hits.orderBy(F.desc("score"), "id").limit(20)
+    c = commands.dedup(A.events(spark, d))
+    return search.hits(c, "command", "command_line", ["command_line"], "click k=77").select("kind", "id", "score").orderBy(F.desc("score"), "id").limit(20)
 
 
 @query(f"SELECT {sql_stamp('min(ts)')} AS first, {sql_stamp('max(ts)')} AS last, count(DISTINCT session_id) AS sessions FROM ev", (EV,))

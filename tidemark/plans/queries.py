@@ -11,7 +11,7 @@ from ..functions import shell
 from ..functions import text as T
 from ..functions import vectors as V
 from ..functions import verdicts as R
-from ..operators import clustering, commands, console, findings, mining, rollups
+from ..operators import clustering, commands, console, dashboard, features, findings, mining, rollups
 from ..sources import adapters as A
 from ..sources.adapters import BAG, EV, VEC, table
 
@@ -130,16 +130,14 @@ def asn_country_onehot(spark, d):
 
 @query("SELECT session_id, round(least(greatest(ln(1 + command_count) / ln(1 + 1e3), 0), 1) * 0.05, 6) AS f_commands, round(least(greatest(ln(1 + unique_commands) / ln(1 + 1e3), 0), 1) * 0.05, 6) AS f_unique, round(coalesce(login_success_count / nullif(login_success_count + login_fail_count, 0), 0), 6) AS login_success_rate FROM ses", (EV, SES))
 def session_scalar_block(spark, d):
-    s = rollups.sessions(A.events(spark, d))
-    rate = F.coalesce(F.try_divide(F.col("login_success_count"), F.col("login_success_count") + F.col("login_fail_count")), F.lit(0.0))
-    return s.select("session_id", F.round(V.scaled_log(F.col("command_count"), 1e3), 6).alias("f_commands"), F.round(V.scaled_log(F.col("unique_commands"), 1e3), 6).alias("f_unique"), F.round(rate, 6).alias("login_success_rate"))
+    s = features.session_scalars(rollups.sessions(A.events(spark, d)))
+    return s.select("session_id", *[F.round(c, 6).alias(c) for c in ("f_commands", "f_unique", "login_success_rate")])
 
 
 @query("SELECT command_line, round(least(ln(1 + n) / ln(1 + 1e5), 1) * 0.05, 6) AS f_occurrence, round(least(ln(1 + ips) / ln(1 + 1e4), 1) * 0.05, 6) AS f_ips, round(least(s / n, 1) * 0.05, 6) AS f_reuse FROM (SELECT command_line, count(*) AS n, count(DISTINCT source_ip) AS ips, count(DISTINCT session_id) AS s FROM ev GROUP BY 1)", (EV,))
 def command_scalar_block(spark, d):
-    c = commands.dedup(A.events(spark, d))
-    reuse = F.least(F.col("unique_sessions") / F.col("occurrence_count"), F.lit(1.0)) * 0.05
-    return c.select("command_line", F.round(V.scaled_log(F.col("occurrence_count"), 1e5), 6).alias("f_occurrence"), F.round(V.scaled_log(F.col("unique_source_ips"), 1e4), 6).alias("f_ips"), F.round(reuse, 6).alias("f_reuse"))
+    c = features.command_scalars(commands.dedup(A.events(spark, d)))
+    return c.select("command_line", *[F.round(x, 6).alias(x) for x in ("f_occurrence", "f_ips", "f_reuse")])
 
 
 @query("SELECT source_ip, round(least(ln(1 + count(*)) / ln(1 + 1e5), 1) * 0.05, 6) AS f_sessions, round(least(ln(1 + avg(duration_us / 1e6)) / ln(1 + 3600), 1) * 0.05, 6) AS f_duration, round(count(*) FILTER (login_success_count > 0) / count(*), 6) AS f_success FROM ses GROUP BY 1", (EV, SES))
@@ -510,7 +508,7 @@ def cluster_pair_explain(spark, d):
 
 @query("SELECT event_type, round(avg(k), 6) AS mean, round(coalesce(stddev_samp(k), 0), 6) AS std FROM ev GROUP BY 1", (EV,))
 def scalar_spread(spark, d):
-    return A.events(spark, d).groupBy("event_type").agg(F.round(F.avg("k"), 6).alias("mean"), F.round(F.coalesce(F.stddev_samp("k"), F.lit(0.0)), 6).alias("std"))
+    return features.spread(A.events(spark, d), "event_type", "k")
 
 
 @query("SELECT e.session_id, array_to_string(list(command_line ORDER BY ts, command_line)[1:15], '|') AS sequence, count(*) AS total FROM ev e WHERE action = 'command.input' GROUP BY 1", (EV,))
@@ -526,8 +524,7 @@ def hdbscan_labels(spark, d):
 
 @query("SELECT count(*) AS sessions, count(*) FILTER (command_count > 0) AS with_commands, count(DISTINCT source_ip) AS addresses FROM ses", (EV, SES))
 def overview_counts(spark, d):
-    s = rollups.sessions(A.events(spark, d))
-    return s.agg(F.count("*").alias("sessions"), F.count_if(F.col("command_count") > 0).alias("with_commands"), F.countDistinct("source_ip").alias("addresses"))
+    return dashboard.overview(rollups.sessions(A.events(spark, d)))
 
 
 @query("SELECT count(*) AS n FROM ses WHERE login_success_count >= 1 AND command_count >= 1", (EV, SES))
