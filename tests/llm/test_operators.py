@@ -549,7 +549,7 @@ RULES = queries.URL_RULES
 def test_hosts_and_rules(spark):
     urls = ["HTTP://Www.Example.COM/en/7x?q#f", "https://a.net/de/80", "https://x.example.net/de/8", "x://org/es/", "http://xorg/es/", None, "no scheme", "a://b?c://d/e", "http://É.org/es/1", "http://example.com/en", "http://example.com/en/1"]
     rows = spark.createDataFrame([(k, u, "h") for k, u in enumerate(urls)], "page_id long, url string, host string")
-    got = [tuple(r)[2:] for r in url_rules.judge(rows, spark.createDataFrame([], "page_id long, bad boolean"), RULES).orderBy("page_id").collect()]
+    got = [tuple(r)[2:6] for r in url_rules.judge(rows, spark.createDataFrame([], "page_id long, bad boolean"), RULES).orderBy("page_id").collect()]
     assert got == [
         ("www.example.com", "/en/7x", "example.com/en/7", "allow"), ("a.net", "/de/80", "net/de/", "allow"), ("x.example.net", "/de/8", "example.net/de/8", "block"), ("org", "/es/", "org/es/", "block"),
         ("xorg", "/es/", None, "allow"), ("", "", None, "allow"), ("", "", None, "allow"), ("b", "", None, "allow"), ("É.org", "/es/1", "org/es/", "block"), ("example.com", "/en", None, "allow"), ("example.com", "/en/1", "com/en/", "block"),
@@ -571,6 +571,49 @@ def test_mined_rules(spark):
     assert all((r["verdict"] == "block") == ("//bad.test/win/" in r["url"]) for r in judged)
 
 
+def plain_rules(baskets, least, min_confidence, min_lift):
+    """All sets of tokens, counted one by one: {items: (support, confidence)} of the rules that stay, and every token's count."""
+    from itertools import combinations
+
+    n, bad = len(baskets), sum(b for _, b in baskets)
+    counts, hits, single = {}, {}, {}
+    for items, is_bad in baskets:
+        for t in items:
+            single[t] = single.get(t, 0) + 1
+        for size in range(1, len(items) + 1):
+            for c in combinations(sorted(items), size):
+                counts[c] = counts.get(c, 0) + 1
+                hits[c] = hits.get(c, 0) + is_bad
+    rules = {c: (h / n, h / counts[c]) for c, h in hits.items() if h >= least and h / counts[c] >= min_confidence and h / counts[c] / (bad / n) >= min_lift}
+    return {c: r for c, r in rules.items() if not any(set(o) < set(c) and p[1] >= r[1] for o, p in rules.items())}, single
+
+
+def test_mined_rules_are_those_of_counting(spark):
+    rng = random.Random(31)
+    pages = []
+    for k in range(500):
+        host, folders = rng.choice(["free-win.test", "a.test", "b.c.test"]), rng.sample(["x", "y", "z", "w", "v"], rng.randint(1, 4))
+        bad = host == "free-win.test" and rng.random() < 0.9 or {"x", "y"} <= set(folders) and rng.random() < 0.8 or {"x", "z", "w", "v"} <= set(folders) and host == "a.test"
+        pages.append((k, f"http://{host}/{'/'.join(folders)}/p?q={k % 3}", bool(bad)))
+    table = spark.createDataFrame(pages, "page_id long, url string, bad boolean")
+    rows = url_rules.parsed(table.drop("bad"))
+    items = rows.select("page_id", url_rules.tokens(F.col("host"), F.col("path"), F.col("url")).alias("items")).join(table.select("page_id", "bad"), "page_id")
+    baskets = [(frozenset(r["items"]), r["bad"]) for r in items.collect()]
+    want, single = plain_rules(baskets, 20, 0.6, 1.5)
+    got = {tuple(r["items"]): (r["support"], r["confidence"], r["token"]) for r in url_rules.mine(items.select("items", "bad")).collect()}
+    assert got.keys() == want.keys() and len(want) >= 3 and max(map(len, want)) >= 2
+    assert all(got[c][:2] == pytest.approx(want[c]) and got[c][2] == min(c, key=lambda t: (single[t], t)) for c in want)
+    judged = {r["page_id"]: r["verdict"] for r in url_rules.judge(table.drop("bad"), table.select("page_id", "bad"), []).collect()}
+    own = {r["page_id"]: set(r["items"]) for r in items.collect()}
+    assert judged == {k: "block" if any(set(c) <= own[k] for c in want) else "allow" for k, _, _ in pages} and len(set(judged.values())) == 2
+
+
+def test_content_labels(spark):
+    rows = [(1, "<p>Casino night"), (2, "<p>casinos"), (3, None), (4, ""), (None, "ads")]
+    got = url_rules.content_labels(spark.createDataFrame(rows, "page_id long, html string")).collect()
+    assert sorted(map(str, ((r["page_id"], r["bad"]) for r in got))) == sorted(map(str, [(1, True), (2, False), (4, False), (None, True)]))
+
+
 def test_native_plan(spark):
     import io
     from contextlib import redirect_stdout

@@ -37,13 +37,14 @@ def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of documents stand for the pages of the same number."""
-    return table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    """A page is bad if the document of its number is labelled so, or if its own content has unwanted words."""
+    given = table(spark, sf_dir, "labels").select(F.col("doc_id").cast("long").alias("page_id"), ((F.col("toxic") == 1) | (F.col("quality") == 0)).alias("bad"))
+    return given.unionByName(url_rules.content_labels(table(spark, sf_dir, "pages")))
 
 
 def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_rules.judge(table(spark, sf_dir, "pages"), page_labels(spark, sf_dir), URL_RULES)
-    return judged.select("page_id", "host", "path", "rule", "verdict")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "mined")
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
