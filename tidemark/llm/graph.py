@@ -34,7 +34,8 @@ class Forest:
         return True
 
 
-def _thinned(batches):
+def thinned(batches):
+    """Edges (a, b) of spanning trees in place of the given ones: as many as nodes, and the same components."""
     forest = Forest()
 
     def trees():
@@ -58,7 +59,7 @@ def components(edges: DataFrame) -> DataFrame:
     edges between different roots. Tasks first replace edges by spanning trees, so a node with very
     many edges keeps few. All state is in written tables; the driver sees counts only.
     """
-    edges = written(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b").mapInArrow(_thinned, "a long, b long"), "edges")
+    edges = written(edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).where("a <> b").mapInArrow(thinned, "a long, b long"), "edges")
     ends = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e")
     labels = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("label", F.col("node"))
     while not edges.isEmpty():
@@ -75,7 +76,7 @@ def components(edges: DataFrame) -> DataFrame:
         labels = written(labels.join(by_label, "label", "left").select("node", F.coalesce("up", "label").alias("label")), "labels")
         a, b = (hooks.select(F.col("node").alias(c), F.col("up").alias(f"{c}_up")) for c in "ab")
         rest = edges.join(a, "a").join(b, "b").where("a_up <> b_up").select(F.col("a_up").alias("a"), F.col("b_up").alias("b"))
-        fewer = written(rest.distinct().mapInArrow(_thinned, "a long, b long"), "edges")
+        fewer = written(rest.distinct().mapInArrow(thinned, "a long, b long"), "edges")
         dropped(edges, hooks)
         edges = fewer
     return labels

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ._common import NULL_ID, order_id, written
-from .graph import components
+from .graph import components, thinned
 
 PASSES, BITS, WINDOW, BLOCK, SEED = 24, 48, 64, 2048, 9
 #: Members of a component in a tile; what angles and products may be wrong by through rounding.
@@ -51,7 +51,17 @@ def _tie_directions(size: int, passes: int) -> np.ndarray:
     return np.random.Generator(np.random.PCG64(SEED + 1)).standard_normal((passes, size))
 
 
+def _unit_rows(batches):
+    """(cls, unit): each class's unit vector."""
+    for batch in batches:
+        for _, part in _by_length(batch):
+            unit, good = _unit(part["embedding"].to_pylist())
+            yield pa.RecordBatch.from_arrays([part["cls"].filter(pa.array(good)), pa.array([v.tobytes() for v in unit], pa.binary())], names=["cls", "unit"])
+
+
 def _pass_rows(passes: int):
+    """Keys and places for ties of each class in each pass; vectors don't take part in the sort."""
+
     def rows(batches):
         for batch in batches:
             for size, part in _by_length(batch):
@@ -59,12 +69,11 @@ def _pass_rows(passes: int):
                 if not len(unit):
                     continue
                 own = part["cls"].to_numpy()[good]
-                raw = [v.tobytes() for v in unit]
                 planes, ties = _directions(size, passes), _tie_directions(size, passes)
                 weights = 1 << np.arange(BITS - 1, -1, -1, dtype="i8")
                 for k in range(passes):
                     keys = ((unit @ planes[k] > 0) @ weights).astype("i8")
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), k, "i4")), pa.array(np.full(len(own), size, "i4")), pa.array(keys), pa.array(unit @ ties[k]), pa.array(own), pa.array(raw, pa.binary())], names=["pass", "size", "key", "tie", "cls", "unit"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), k, "i4")), pa.array(np.full(len(own), size, "i4")), pa.array(keys), pa.array(unit @ ties[k]), pa.array(own)], names=["pass", "size", "key", "tie", "cls"])
 
     return rows
 
@@ -219,14 +228,18 @@ def near_vectors(rows: DataFrame, least: float = 0.95, passes: int = PASSES, win
     classes = vectors.where(F.col("digest").isNotNull()).groupBy("digest").agg(F.min("k").alias("least_id"), F.count("*").alias("copies"), F.first("embedding").alias("embedding"))
     classes = written(classes.withColumnRenamed("digest", "cls"), "classes")
 
-    spread = classes.select("cls", "embedding").mapInArrow(_pass_rows(passes), "pass int, size int, key long, tie double, cls long, unit binary")
+    spread = classes.select("cls", "embedding").mapInArrow(_pass_rows(passes), "pass int, size int, key long, tie double, cls long")
     ordered = spread.repartitionByRange("pass", "size", "key", "tie", "cls").sortWithinPartitions("pass", "size", "key", "tie", "cls")
     placed = _placed(written(ordered.withColumn("at", F.monotonically_increasing_id()), "passes"))
-    placed = placed.withColumn("lane", F.col("pass") * 100_000 + F.col("size"))
+    placed = placed.withColumn("lane", F.col("pass").cast("long") * (1 << 32) + F.col("size"))
     block = F.floor(F.col("place") / BLOCK).cast("long")
     in_blocks = F.when((F.col("place") % BLOCK < window) & (block > 0), F.array(block - 1, block)).otherwise(F.array(block))
-    dealt = placed.select(F.explode(in_blocks).alias("block"), "place", "lane", "cls", "unit").repartition("block").sortWithinPartitions("block")
-    labels = components(dealt.mapInArrow(_compare(least, window), "a long, b long"))
+    # each block fetches the vectors of its places
+    units = classes.select("cls", "embedding").mapInArrow(_unit_rows, "cls long, unit binary")
+    dealt = placed.select(F.explode(in_blocks).alias("block"), "place", "lane", "cls").join(units, "cls")
+    dealt = dealt.select("block", "place", "lane", "cls", "unit").repartition("block").sortWithinPartitions("block")
+    compare = _compare(least, window)
+    labels = components(dealt.mapInArrow(lambda batches: thinned(compare(batches)), "a long, b long"))
     others = _others(classes, labels, least)
     known = classes.select("cls", "least_id", "copies").join(others, "cls", "left").join(labels.withColumnRenamed("node", "cls"), "cls", "left")
     known = written(known.select("cls", "least_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("label", "cls").alias("label")), "known")
