@@ -308,6 +308,45 @@ def test_imatch(spark):
     assert alone["edited_sha256"] == hashlib.sha256(b"abab").hexdigest()
 
 
+def test_fingerprints_are_those_of_a_plain_loop(spark):
+    """Each random subset of the band's terms, taken term by term, hashed in sorted order."""
+    import xxhash
+
+    rng = random.Random(17)
+    rows = [(k, " ".join(rng.choice(WORDS) for _ in range(rng.randint(0, 60))) + rng.choice(["", " Solo!", " x9-y"])) for k in range(60)] + [(70, ""), (71, "unheard of"), (72, prose(rng, 30_000))]
+    docs = frame(spark, rows)
+    known = imatch.lexicon(docs, low=0.05, high=0.9)
+    words = lambda t: {w.lower() for w in re.split(r"[^0-9A-Za-z\x80-\U0010ffff]+", t) if w}
+    seen = {}
+    for _, t in rows:
+        for w in words(t):
+            seen[w] = seen.get(w, 0) + 1
+    band = {xxhash.xxh3_64_intdigest(w.encode()) for w, n in seen.items() if max(2, 0.05 * len(rows)) <= n <= 0.9 * len(rows)}
+    assert sorted(band) == known.tolist()
+
+    def plain(text):
+        own = sorted(xxhash.xxh3_64_intdigest(w.encode()) for w in words(text))
+        kept, out = [h for h in own if h in band], [0] * (imatch.LEXICONS + 1)
+        pack = lambda hs: b"".join(h.to_bytes(8, "little") for h in hs)
+        if not kept:
+            out[-1] = xxhash.xxh32_intdigest(pack(own)) if own else 0
+            return out
+        for k, salt in enumerate(imatch._salts().tolist()):
+            def place(h, salt=salt):
+                m = (h ^ salt) * 0x9E3779B97F4A7C15 % 2**64
+                return (m ^ m >> 29) * 0xBF58476D1CE4E5B9 % 2**64 >> 40
+            part = [h for h in kept if place(h) < int(imatch.SHARES[k % len(imatch.SHARES)] * 2**24)]
+            out[k] = xxhash.xxh32_intdigest(pack(part)) if part else 0
+        return out
+
+    want = {k: np.array(plain(t), "u4") for k, t in rows}
+    got = {r["doc_id"]: r["fingerprint"] for r in imatch.fingerprints(docs, known).collect()}
+    assert got == {k: v.tobytes().hex() for k, v in want.items()}
+    for a, b in ((0, 1), (70, 71), (3, 3), (72, 5)):
+        used = [(x, y) for x, y in zip(want[a].tolist(), want[b].tolist()) if x or y]
+        assert imatch.likeness(want[a], want[b]) == (sum(x == y for x, y in used) / len(used) if used else 1.0)
+
+
 # --- vectors
 
 

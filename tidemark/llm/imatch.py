@@ -124,13 +124,15 @@ def edit_likeness(docs: DataFrame, known: np.ndarray, id_col: str = "doc_id", te
 
     The next document is the one with the next smaller id (of equal ids by text; nulls come last),
     after the last the first; a single document is its own next one. The last half of the code points
-    gives way to the next document's first ones. Rows are dealt by id ranges and each task reads its
-    documents in order, one at a time; only the ends of the partitions meet in a second step.
+    gives way to the next document's first ones. Rows are dealt by ranges of ids and, where many share an
+    id or have none, of how their texts begin; each task reads its documents in order, one at a time and
+    as a whole; only the ends of the partitions meet in a second step. A null text is empty; equal texts have equal
+    fingerprints, and an empty one is wholly like another. An empty table gives no row.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(known)
     rows = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
-    rows = rows.withColumn("k", order_id("doc_id")).repartitionByRange(F.desc("k")).sortWithinPartitions(F.desc("k"), "text").select("doc_id", "text")
+    rows = rows.withColumn("k", order_id("doc_id")).repartitionByRange(F.desc("k"), F.substring("text", 1, 64)).sortWithinPartitions(F.desc("k"), "text").select("doc_id", "text")
 
     def compared(part, doc_id, text, own, next_text, next_own, salts):
         half = len(text) // 2
