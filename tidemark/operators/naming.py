@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,7 +52,7 @@ def hashed_embedding(size: int = 64, n: int = 3) -> Callable[[Column], Column]:
         for text in texts.to_pylist():
             v, t = np.zeros(size), f" {text or ''} "
             for k in range(len(t) - n + 1):
-                h = xxhash.xxh3_64_intdigest(t[k : k + n])
+                h = int.from_bytes(hashlib.blake2b(t[k : k + n].encode(), digest_size=8).digest(), "little")
                 v[h % size] += 1 if h >> 63 else -1
             norm = np.linalg.norm(v)
             out.append((v / norm if norm else v).tolist())
