@@ -28,6 +28,12 @@ def test_feeds(spark, tmp_path):
         assert [tuple(r) for r in got] == [("1.2.3.4", 4)]
     csv = '# about\n# id,url,tags\n"1","http://a/b","x,y"\n2,http://c/d,z\n'
     assert [tuple(r) for r in feeds.commented_csv(spark, put(tmp_path, "c", csv), ["id", "url", "tags"]).collect()] == [("1", "http://a/b", "x,y"), ("2", "http://c/d", "z")]
+    titled = '# about, this\n# id,url,tags\n# "id,other"\n' + csv.split("\n", 2)[2]
+    assert feeds.commented_csv(spark, put(tmp_path, "t", titled)).columns == ["id", "url", "tags"]
+    with pytest.raises(ValueError):
+        feeds.commented_csv(spark, put(tmp_path, "u", "# nothing\n1,2\n"))
+    odd = [{"source": "1.1.1.1"}, {"ip": "2.2.2.2", "source": " "}, {"sourceip": "3.3.3.3"}, {"other": 1}]
+    assert [r["ip"] for r in feeds.variant_rows(spark, put(tmp_path, "v", json.dumps(odd)), {"ip": ("source", "ip", "sourceip")}).collect()] == ["1.1.1.1", "2.2.2.2", "3.3.3.3", None]
     hit = N.in_ranges(spark.createDataFrame([("10.1.2.3",), ("9.9.9.9",), ("8.8.8.8",), ("bad",)], "ip string"), nets)
     assert sorted((r["ip"], r["cidr"]) for r in hit.collect()) == [("10.1.2.3", "10.0.0.0/8"), ("9.9.9.9", "9.9.9.9")]
 

@@ -113,3 +113,62 @@ def nearer_centroid(commands: DataFrame, a: list[float], b: list[float]) -> Data
     at = lambda v: F.when(F.col("embedding").isNotNull(), F.round(V.cosine(F.col("embedding"), F.array(*[F.lit(float(x)) for x in v])), 6))
     out = commands.select("command_line", at(a).alias("to_a"), at(b).alias("to_b"))
     return out.orderBy(F.desc_nulls_last(F.abs(F.col("to_a") - F.col("to_b"))), "command_line")
+
+
+def daily_of_largest(rows: DataFrame, key: str, as_of: str, top: int = 30, days: int = 14, ts: str = "ts") -> DataFrame:
+    """(key, day, n) of the largest keys only, with a row for each of the last days."""
+    from .rollups import daily
+
+    largest = top_keys(rows, key, top).select(key)
+    return daily(rows.join(largest, key, "left_semi"), key, as_of, days, ts)
+
+
+def cluster_places(addresses: DataFrame, column: str, top: int = 5) -> DataFrame:
+    """(cluster_id, column, n, rank): the most frequent countries or networks of each cluster of addresses."""
+    inner = addresses.where(F.col("cluster_id").isNotNull() & (F.col("cluster_id") != clustering.OUTLIER))
+    return dominant(inner, "cluster_id", column, top)
+
+
+def metrics(sessions: DataFrame) -> DataFrame:
+    """One row: sessions, those with commands, outliers, and intrusions (a login and a command)."""
+    intrusion = (F.col("login_success_count") > 0) & (F.col("command_count") > 0)
+    return sessions.agg(F.count("*").alias("total"), F.count_if(F.col("command_count") > 0).alias("with_commands"), F.count_if(F.col("cluster_id") == clustering.OUTLIER).alias("outliers"), F.count_if(intrusion).alias("intrusions"))
+
+
+def over_time(sessions: DataFrame, unit: str = "day") -> DataFrame:
+    return sessions.groupBy(F.date_trunc(unit, "start_ts").alias("at")).agg(F.count("*").alias("n"))
+
+
+def shares(rows: DataFrame, column: str, missing: str = "unknown") -> DataFrame:
+    """(column, n, share) of each value."""
+    n = rows.groupBy(F.coalesce(F.col(column).cast("string"), F.lit(missing)).alias(column)).agg(F.count("*").alias("n"))
+    return n.join(F.broadcast(n.agg(F.sum("n").alias("all")))).select(column, "n", F.round(F.col("n") / F.col("all"), 6).alias("share"))
+
+
+def most_novel(sessions: DataFrame, top: int = 15) -> DataFrame:
+    return sessions.orderBy(F.desc_nulls_last("mean_novelty_score"), "session_id").limit(top)
+
+
+def cluster_list(sessions: DataFrame) -> DataFrame:
+    """(cluster_id, n, place): clusters as a timeline lists them, `none` late and outliers last."""
+    named = F.coalesce(F.col("cluster_id"), F.lit("none"))
+    counts = sessions.groupBy(named.alias("cluster_id")).agg(F.count("*").alias("n"))
+    late = F.when(F.col("cluster_id") == clustering.OUTLIER, 2).when(F.col("cluster_id") == "none", 1).otherwise(0)
+    return counts.withColumn("place", F.row_number().over(Window.orderBy(late, F.length("cluster_id"), "cluster_id")))  # a row a cluster
+
+
+def discovered(artifacts: DataFrame) -> DataFrame:
+    """(kind, n): distinct artifacts of each kind."""
+    return artifacts.select("kind", "value").distinct().groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def overrides(judged: DataFrame) -> DataFrame:
+    """(override, n): by what rule verdicts were decided."""
+    return judged.groupBy("override").agg(F.count("*").alias("n"))
+
+
+def pair_members(runs: DataFrame, a: str, b: str, most: int = 200) -> DataFrame:
+    """Members with an embedding of two clusters in the latest run, at most so many of each, by id."""
+    rows = clustering.latest_run(runs).where(F.col("cluster_id").isin(a, b) & F.col("embedding").isNotNull())
+    order = Window.partitionBy("cluster_id").orderBy("id")
+    return rows.withColumn("place", F.row_number().over(order)).where(F.col("place") <= most).drop("place")

@@ -81,6 +81,15 @@ def neighbours(graph: DataFrame, anchor: str, limit: int = 50) -> DataFrame:
     return graph.where((F.col("source") == anchor) | (F.col("target") == anchor)).orderBy(F.desc("n"), "source", "target", "kind").limit(limit)
 
 
+def neighbours_of(graph: DataFrame, anchors: list[str], limit: int = 50) -> DataFrame:
+    """(anchor, source, target, kind, n): the strongest edges of each of several anchors, in one scan of the graph."""
+    wanted = F.array(*[F.lit(_checked(a)) for a in anchors])
+    met = graph.where(F.col("source").isin(*anchors) | F.col("target").isin(*anchors))
+    each = met.withColumn("anchor", F.explode(F.array_intersect(F.array("source", "target"), wanted)))
+    order = Window.partitionBy("anchor").orderBy(F.desc("n"), "source", "target", "kind")
+    return each.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).select("anchor", *EDGE)
+
+
 def expanded(graph: DataFrame, anchor: str, depth: int = 3, fan_out: tuple[int, ...] = FAN_OUT) -> DataFrame:
     """(node, hop, role): what lies around an anchor, at most fan_out[hop - 1] new nodes for each node of a hop.
 

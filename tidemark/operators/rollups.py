@@ -110,3 +110,33 @@ def daily(rows: DataFrame, key: str, as_of, days: int = 14, ts: str = "ts") -> D
     spine = F.explode(F.sequence(F.date_sub(last, days - 1), last)).alias("day")
     counts = rows.where((F.to_date(ts) > F.date_sub(last, days)) & (F.to_date(ts) <= last)).groupBy(key, F.to_date(ts).alias("day")).agg(F.count("*").alias("n"))
     return rows.select(key).distinct().select(key, spine).join(counts, [key, "day"], "left").select(key, "day", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def session_documents(events: DataFrame, columns: list[str], cap: int = DEFAULT.credential_cap) -> DataFrame:
+    """Sessions with the first value of each of these columns (destination, agent, fingerprint, ...) and their credentials."""
+    out = sessions(events).join(first_seen(events, columns), "session_id", "left")
+    if {"user_name", "password"} <= set(events.columns):
+        out = out.join(credentials(events, cap=cap), "session_id", "left")
+    return out
+
+
+def with_commands(runs: DataFrame, commands: DataFrame) -> DataFrame:
+    """(session, command) rows with what is known of the command; unknown commands stay, with nulls."""
+    return runs.join(commands, "command_hash", "left")
+
+
+def address_documents(rolled: DataFrame, events: DataFrame, places: list[str], cap: int = DEFAULT.credential_cap) -> DataFrame:
+    """Addresses with the credentials of all their events and the first known value of each place column (country, network, ...)."""
+    known = [F.col(c).isNotNull() & (F.col(c).cast("string") != "") for c in places]
+    firsts = [F.min(F.when(k, F.struct("start_ts", "session_id", c)))[c].alias(c) for c, k in zip(places, known)]
+    out = addresses(rolled).join(rolled.groupBy("source_ip").agg(*firsts), "source_ip") if places else addresses(rolled)
+    return out.join(credentials(events, "source_ip", cap), "source_ip", "left")
+
+
+def located(addresses: DataFrame, networks: DataFrame, ip: str = "source_ip") -> DataFrame:
+    """Addresses with the columns of the narrowest network (cidr, ...) that holds them; nulls without one."""
+    from ..functions import network as N
+
+    hit = N.in_ranges(addresses.select(F.col(ip).alias("ip")).distinct(), networks.select("cidr")).withColumn("bits", F.when(F.col("cidr").contains("/"), F.substring_index("cidr", "/", -1).cast("int")).otherwise(F.lit(128)))
+    best = hit.groupBy("ip").agg(F.max_by("cidr", F.struct("bits", "cidr")).alias("cidr"))
+    return addresses.join(best.join(networks, "cidr").withColumnRenamed("ip", ip), ip, "left")

@@ -233,11 +233,12 @@ ANCHORS = ["ip:7", "session:7-20240101", "command_cluster:1", "session_cluster:2
 
 @query(" UNION ALL ".join(f"SELECT '{a}' AS anchor, source, target, kind, n FROM (SELECT * FROM edges WHERE source = '{a}' OR target = '{a}' ORDER BY n DESC, source, target, kind LIMIT 50)" for a in ANCHORS), BASE)
 def graph_anchors(spark, d):
-    g, out = the_graph(spark, d), None
-    for a in ANCHORS:
-        some = graph.neighbours(g, a).select(F.lit(a).alias("anchor"), *graph.EDGE)
-        out = some if out is None else out.unionByName(some)
-    return out
+    return graph.neighbours_of(the_graph(spark, d), ANCHORS)
+
+
+@query("SELECT source, target, kind, n FROM edges WHERE source = 'playbook:p1' OR target = 'playbook:p1' ORDER BY n DESC, source, target, kind LIMIT 50", BASE)
+def graph_of_playbook(spark, d):
+    return graph.neighbours(the_graph(spark, d), "playbook:p1")
 
 
 @query("""SELECT node, hop, CASE hop WHEN 0 THEN 'anchor' WHEN 2 THEN 'leaf' ELSE 'mini_anchor' END AS role FROM (SELECT 'asn:3' AS node, 0 AS hop UNION ALL SELECT node, 1 FROM one
@@ -379,3 +380,97 @@ def united_nodes(spark, d):
     pairs = F.map_from_entries(F.transform(F.sequence(F.lit(0), F.col("k")), lambda i: F.struct(i.cast("string"), i.cast("string"))))
     nodes = ev.select(F.col("event_type").alias("node"), "k").distinct().select("node", pairs.alias("attributes"))
     return graph.united_nodes(nodes).select("node", (F.size("attributes") - 1).alias("best"))
+
+
+# --- documents and further panels
+
+@query("SELECT session_id, command_count, arg_min(event_type, (ts, event_type)) AS event_type FROM ev JOIN ses USING (session_id) GROUP BY 1, 2", (EV, SES))
+def session_documents(spark, d):
+    return rollups.session_documents(A.events(spark, d), ["event_type"]).select("session_id", "command_count", "event_type")
+
+
+@query("SELECT source_ip, total, country, credentials FROM (SELECT source_ip, count(*) AS total, any_value(country) AS country FROM dom GROUP BY 1) JOIN (SELECT source_ip, list_sort(list(DISTINCT event_type || ':' || k))[1:200] AS credentials FROM ev GROUP BY 1) USING (source_ip)", (EV, SES, DOM))
+def address_documents(spark, d):
+    ev = A.events(spark, d).withColumns({"user_name": F.col("event_type"), "password": F.col("k").cast("string")})
+    out = rollups.address_documents(dom(spark, d), ev, ["country"])
+    return out.select("source_ip", F.col("total_sessions").alias("total"), "country", "credentials")
+
+
+@query("SELECT doc_id AS k, CASE doc_id % 4 WHEN 0 THEN 'narrow' WHEN 1 THEN 'half' WHEN 2 THEN 'wide' END AS place FROM documents")
+def located_addresses(spark, d):
+    ip = F.concat(F.lit("10."), (F.col("doc_id") % 4).cast("string"), F.lit(".0."), (F.col("doc_id") % 250).cast("string"))
+    rows = table(spark, d, "documents").select(F.col("doc_id").alias("k"), ip.alias("source_ip"))
+    nets = spark.createDataFrame([("10.0.0.0/15", "half"), ("10.0.0.0/16", "narrow"), ("10.2.0.0/16", "wide"), ("11.0.0.0/8", "far")], "cidr string, place string")
+    return rollups.located(rows, nets).select("k", "place")
+
+
+@query("SELECT count(*) AS total, count(*) FILTER (command_count > 0) AS with_commands, count(*) FILTER (cluster_id = 'outlier') AS outliers, count(*) FILTER (login_success_count > 0 AND command_count > 0) AS intrusions FROM dom", (EV, SES, DOM))
+def dashboard_metrics(spark, d):
+    return dashboard.metrics(dom(spark, d))
+
+
+@query(f"SELECT {sql_stamp("date_trunc('day', start_ts)")} AS at, count(*) AS n FROM ses GROUP BY 1", (EV, SES))
+def sessions_over_time(spark, d):
+    return dashboard.over_time(dom(spark, d)).withColumn("at", stamp("at"))
+
+
+@query("SELECT coalesce(intent, 'unknown') AS intent, count(*) AS n, round(count(*) / (SELECT count(*) FROM dom), 6) AS share FROM dom GROUP BY 1", (EV, SES, DOM))
+def intent_shares(spark, d):
+    return dashboard.shares(dom(spark, d), "intent")
+
+
+@query("SELECT session_id FROM dom ORDER BY CASE WHEN cluster_id <> 'outlier' THEN command_entropy END DESC NULLS LAST, session_id LIMIT 15", (EV, SES, DOM))
+def most_novel_sessions(spark, d):
+    s = dom(spark, d).withColumn("mean_novelty_score", F.when(F.col("cluster_id") != "outlier", F.col("command_entropy")))
+    return dashboard.most_novel(s).select("session_id")
+
+
+@query("SELECT cluster_id, n, CAST(row_number() OVER (ORDER BY CASE cluster_id WHEN 'outlier' THEN 2 WHEN 'none' THEN 1 ELSE 0 END, length(cluster_id), cluster_id) AS INTEGER) AS place FROM (SELECT coalesce(nullif(cluster_id, '3'), 'none') AS cluster_id, count(*) AS n FROM dom GROUP BY 1)", (EV, SES, DOM))
+def timeline_clusters(spark, d):
+    return dashboard.cluster_list(dom(spark, d).withColumn("cluster_id", F.nullif("cluster_id", F.lit("3"))))
+
+
+@query(f"SELECT t.command_line, strftime(day, '%Y-%m-%d') AS day, count(e.event_id) AS n FROM (SELECT command_line FROM ev GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 5) t, (SELECT CAST(unnest(generate_series(DATE '{AS_OF[:10]}' - INTERVAL 13 DAY, DATE '{AS_OF[:10]}', INTERVAL 1 DAY)) AS DATE) AS day) LEFT JOIN ev e ON e.command_line = t.command_line AND CAST(e.ts AS DATE) = day GROUP BY ALL", (EV,))
+def daily_of_largest(spark, d):
+    return dashboard.daily_of_largest(A.events(spark, d), "command_line", AS_OF, 5).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query("SELECT cluster_id, country, n, rank FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, country) AS rank FROM (SELECT cluster_id, country, count(*) AS n FROM dom WHERE cluster_id <> 'outlier' GROUP BY ALL)) WHERE rank <= 2", (EV, SES, DOM))
+def cluster_countries(spark, d):
+    return dashboard.cluster_places(dom(spark, d), "country", 2)
+
+
+@query("SELECT 'url' AS kind, count(DISTINCT url) AS n FROM pages UNION ALL SELECT 'id', count(DISTINCT page_id) FROM pages")
+def discovered_artifacts(spark, d):
+    p = table(spark, d, "pages")
+    both = p.select(F.lit("url").alias("kind"), F.col("url").alias("value")).where("value IS NOT NULL").unionByName(p.select(F.lit("id").alias("kind"), F.col("page_id").cast("string").alias("value")))
+    return dashboard.discovered(both)
+
+
+@query("SELECT id, cluster_id FROM (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY id) AS place FROM vec WHERE cluster_id IN ('1', '2')) WHERE place <= 20", (VEC,))
+def cluster_pair_members(spark, d):
+    v = A.vectors(spark, d)
+    runs = v.withColumns({"run_id": F.lit("b"), "ts": F.lit(2)}).unionByName(v.withColumns({"run_id": F.lit("a"), "ts": F.lit(1)}))
+    return dashboard.pair_members(runs, "1", "2", 20).select("id", "cluster_id")
+
+
+@query("SELECT provider, CASE WHEN n_rest THEN 0 ELSE greatest(b - spent, 0) END AS remaining FROM (SELECT event_type AS provider, CAST(900 AS INTEGER) AS b, CAST(count(*) AS INTEGER) AS spent, event_type = 'error' AS n_rest FROM ev GROUP BY 1)", (EV,))
+def provider_budgets(spark, d):
+    state = A.events(spark, d).groupBy(F.col("event_type").alias("provider")).agg(F.count("*").cast("int").alias("spent"))
+    state = state.withColumns({"day": F.to_date(now()), "failures": F.lit(0), "open_until": F.when(F.col("provider") == "error", now() + F.expr("INTERVAL 1 HOUR"))})
+    return worker.left_of(state.select("provider", F.lit(900).alias("budget")), state, now())
+
+
+@query("SELECT 'ip' AS kind, CAST(doc_id AS VARCHAR) AS value FROM labels WHERE doc_id % 3 <> 0")
+def artifacts_due(spark, d):
+    rows = table(spark, d, "labels").select(F.lit("ip").alias("kind"), F.col("doc_id").cast("string").alias("value"), "doc_id")
+    hours = F.when(F.col("doc_id") % 3 == 0, 1).otherwise(-1)
+    blocks = rows.where("doc_id % 3 < 2").select("kind", "value", F.lit("p").alias("provider"), (now() + F.make_dt_interval(hours=hours)).alias("ttl_expires_at"))
+    return worker.due(rows.select("kind", "value"), blocks, "p", now())
+
+
+@query("SELECT 'ip' AS kind, CAST(doc_id AS VARCHAR) AS value, CASE WHEN quality = 1 THEN toxic = 1 END AS malicious FROM labels WHERE toxic IS NOT NULL AND quality IS NOT NULL")
+def intel_summary(spark, d):
+    rows = table(spark, d, "labels").where("toxic IS NOT NULL AND quality IS NOT NULL")
+    verdicts = rows.select(F.lit("ip").alias("kind"), F.col("doc_id").cast("string").alias("value"), (F.col("toxic") == 1).alias("malicious"), F.lit(5).alias("confidence"), F.lit(1).alias("n_malicious"), (F.col("quality") == 0).alias("derived"))
+    return worker.summary(verdicts).select("kind", "value", "malicious")

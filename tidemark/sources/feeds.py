@@ -26,8 +26,27 @@ def json_rows(spark: SparkSession, path: str, schema: str, wrappers: tuple[str,
     return raw.select(F.explode(F.coalesce(plain, *[wrapped[w] for w in wrappers])).alias("r")).select("r.*")
 
 
-def commented_csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """Rows of a CSV whose header stands in a comment; ragged rows go."""
+def variant_rows(spark: SparkSession, path: str, names: dict[str, tuple[str, ...]], wrappers: tuple[str, ...] = ("data", "ips", "results")) -> DataFrame:
+    """JSON rows whose fields go by several names: {"ip": ("source", "ip", "sourceip")} takes the first that is there."""
+    keys = list(dict.fromkeys(k for some in names.values() for k in some))
+    rows = json_rows(spark, path, ",".join(f"`{k}`:string" for k in keys), wrappers)
+    return rows.select(*[F.coalesce(*[F.nullif(F.trim(F.col(f"`{k}`")), F.lit("")) for k in some]).alias(name) for name, some in names.items()])
+
+
+def header_in_comments(spark: SparkSession, path: str, must: str = "url") -> list[str]:
+    """The names in the last comment line that looks like a header: identifiers parted by commas, one of them `must`."""
+    comment = F.regexp_replace(F.trim("value"), r"^#+\s*|\"", "")
+    shaped = comment.rlike(r"^[A-Za-z_][A-Za-z0-9_]*(\s*,\s*[A-Za-z_][A-Za-z0-9_]*)+$") & F.array_contains(F.split(comment, r"\s*,\s*"), must)
+    lines = spark.read.text(path).where(F.col("value").startswith("#")).select(comment.alias("line"), F.monotonically_increasing_id().alias("at")).where(shaped)
+    found = lines.agg(F.max_by("line", "at")).first()[0]
+    if found is None:
+        raise ValueError(f"no header with {must} in the comments of {path}")
+    return [c.strip() for c in found.split(",")]
+
+
+def commented_csv(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Rows of a CSV whose header stands in a comment, where it is looked for if it isn't given; ragged rows go."""
+    columns = columns or header_in_comments(spark, path)
     rows = spark.read.text(path).where((F.trim("value") != "") & ~F.col("value").startswith("#"))
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
     parsed = rows.select(F.from_csv("value", ", ".join(f"`{c}` string" for c in [*columns, "_bad"]), options).alias("r")).select("r.*")
