@@ -41,12 +41,13 @@ def test_feeds(spark, tmp_path):
 def test_log_lines(spark, tmp_path):
     lines = [
         {"eventid": "cowrie.login.failed", "timestamp": "2024-01-02T03:04:05.5Z", "src_ip": "1.2.3.4", "src_port": "22", "session": "s", "username": "u", "password": "p"},
-        {"eventid": "cowrie.session.closed", "session": "s", "duration": 1.5, "src_ip": "::1"},
+        {"eventid": "cowrie.session.closed", "session": "s", "duration": 1.5, "src_ip": "::1", "hassh": "aa", "kexAlgs": ["k1", "k2"]},
         {"eventid": "cowrie.session.file_download", "session": "s", "url": "http://h:81/x.sh?q#f", "destfile": "/tmp/a/b", "shasum": "ff"},
     ]
     got = feeds.raw_log(spark, put(tmp_path, "log", "\n".join(map(json.dumps, lines)) + "\nnot json\n")).collect()
     assert [(r["category"], r["type"], r["outcome"]) for r in got] == [("authentication", "start", "failure"), ("network", "end", "success"), ("file", "creation", None), (None, None, None)]
     assert (got[0]["source_port"], got[0]["related_ip"], got[1]["duration_ns"], got[1]["network_type"]) == (22, ["1.2.3.4"], 1_500_000_000, "ipv6")
+    assert (got[1]["hassh"], got[1]["kex_algorithms"], got[0]["enc_cs"]) == ("aa", ["k1", "k2"], None)
     assert (got[2]["file_name"], got[2]["url"]["port"], got[2]["url"]["extension"], got[2]["related_hash"]) == ("b", 81, "sh", ["ff"]) and got[3]["tags"] == ["parse_failure"]
 
 

@@ -99,7 +99,10 @@ def test_other_sources(spark):
     assert [one(spark, R.reports_confidence(F.lit(n)))[0] for n in (0, 1, 10, 1000, 100000)] == [1, 4, 5, 8, 10]
     s = one(spark, R.noise(F.lit("suspicious"), F.lit(False), F.lit(True), F.lit("x")))[0]
     assert (s["malicious"], s["label"], s["confidence"]) == (None, "greynoise_suspicious", 5)
-    levels = [one(spark, R.threat_entry(F.lit(n)))[0] for n in (49, 50, 75, 100)]
+    entry = lambda n, kind=None, who=None: F.struct(F.lit(n).alias("confidence_level"), F.lit(kind).cast("string").alias("threat_type"), F.lit(who).cast("string").alias("malware"), F.lit(who).cast("string").alias("malware_alias"))
+    levels = [one(spark, R.threat_entries(F.array(entry(10, "x", "y"), entry(n, "Botnet CC", "Mirai"))))[0] for n in (49, 50, 75, 100)]
+    assert [x["label"] for x in levels] == ["threatfox_low"] + ["threatfox_botnet cc"] * 3 and not any(x["evidence_direct"] for x in levels)
+    assert levels[0]["tags"] == ["threatfox_low_confidence", "mirai"] and levels[3]["tags"] == ["threatfox_match", "threatfox_type_botnet_cc", "mirai"]
     assert [x["malicious"] for x in levels] == [None, True, True, True] and [x["confidence"] for x in levels] == [None, 5, 7, 10]
 
 

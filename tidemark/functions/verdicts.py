@@ -47,13 +47,47 @@ def noise(classification: Column, is_noise: Column, riot: Column, name: Column)
     )
 
 
-def threat_entry(level: Column, malware: Column | None = None) -> Column:
-    """The best indicator entry's confidence level: from 50 on it votes, less only informs."""
-    who = F.lit(None).cast("string") if malware is None else malware
-    sure = F.least(F.greatest(5 + F.bround((level - 50) / 10.0, 0), F.lit(5.0)), F.lit(10.0))
-    low = verdict(None, "threatfox_low", None, F.array_compact(F.array(F.lit("threatfox_low_confidence"), who)))
-    high = verdict(True, "threatfox_ioc", sure, F.array_compact(F.array(F.lit("threatfox_ioc"), who)), direct=True)
-    return F.when(level.isNull(), verdict()).when(level >= 50, high).otherwise(low)
+#: What a feed writes where it has nothing (fixed values).
+EMPTY = ("", "none", "null")
+
+
+def _plain(value: Column) -> Column:
+    """Trimmed and lower-cased; null instead of nothing."""
+    text = F.lower(F.trim(value))
+    return F.when(~text.isin(*EMPTY), text)
+
+
+def threat_entries(entries: Column) -> Column:
+    """Verdict of array<struct(confidence_level, threat_type, malware, malware_alias)>.
+
+    The entry with the highest level speaks, of equal ones the first. From 50 on it votes, with 5 to 10; less
+    only informs. Entries are the community's, so they are no direct evidence.
+    """
+    known = F.coalesce(entries, F.array().cast("array<struct<confidence_level:int,threat_type:string,malware:string,malware_alias:string>>"))
+    ranked = F.transform(known, lambda e, k: F.struct(F.coalesce(e["confidence_level"], F.lit(0)).alias("level"), (-k).alias("place"), _plain(e["threat_type"]).alias("kind"), _plain(e["malware"]).alias("malware"), _plain(e["malware_alias"]).alias("alias")))
+    best = F.array_max(ranked)
+    sure = F.least(F.greatest(5 + F.bround((best["level"] - 50) / 10.0, 0), F.lit(5.0)), F.lit(10.0))
+    kind_tag = F.when(best["kind"].isNotNull(), F.concat(F.lit("threatfox_type_"), F.translate(best["kind"], " ", "_")))
+    tags = F.array_distinct(F.array_compact(F.array(F.lit("threatfox_match"), kind_tag, best["malware"], best["alias"])))
+    high = verdict(True, F.coalesce(F.concat(F.lit("threatfox_"), best["kind"]), F.lit("threatfox_match")), sure, tags)
+    low = verdict(None, "threatfox_low", None, F.array_compact(F.array(F.lit("threatfox_low_confidence"), best["malware"])))
+    return F.when(F.size(known) == 0, verdict()).when(best["level"] < 50, low).otherwise(high)
+
+
+def listed_url(there: Column, threat: Column, tags: Column) -> Column:
+    """Verdict of a URL list's row: what stands there is malicious with 9; tags that say nothing go."""
+    kind = _plain(threat)
+    own = F.transform(F.coalesce(tags, F.array().cast("array<string>")), lambda t: _plain(t))
+    kind_tag = F.when(kind.isNotNull() & (kind != "unknown"), F.concat(F.lit("urlhaus_threat_"), kind))
+    all_tags = F.array_compact(F.concat(F.array(F.lit("urlhaus_match"), kind_tag), own))
+    hit = verdict(True, F.concat(F.lit("urlhaus_"), F.coalesce(kind, F.lit("unknown"))), 9, all_tags)
+    return F.when(F.coalesce(there, F.lit(False)), hit).otherwise(verdict())
+
+
+def url_variants(url: Column) -> Column:
+    """The forms under which a list may have a URL: as it is, and with its last slash the other way."""
+    other = F.when(url.endswith("/"), F.left(url, F.length(url) - 1)).otherwise(F.concat(url, F.lit("/")))
+    return F.array(url, other)
 
 
 def reports_confidence(reports: Column) -> Column:

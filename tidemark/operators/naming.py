@@ -69,6 +69,21 @@ def validated(reply: Column, known_ids: Column) -> Column:
     return F.when(r["intent"].isNotNull() | r["confidence"].isNotNull(), F.struct(intent.alias("intent"), T.coerced_confidence(r["confidence"]).alias("confidence"), ids.alias("techniques"), (F.size(F.coalesce(r["techniques"], F.array().cast("array<string>"))) - F.size(ids)).alias("dropped")))
 
 
+def asked_again(rows: DataFrame, ask: Callable[[DataFrame], DataFrame], known_ids: Column, tries: int = 3, key: str = "command_hash") -> DataFrame:
+    """(key, enrichment, tries): replies of a model, asked again with the bad reply as feedback until they are JSON.
+
+    ask(rows with feedback) gives (key, reply). What stays bad after the last try has a null enrichment.
+    """
+    out, todo = None, rows.withColumn("feedback", F.lit(None).cast("string"))
+    for n in range(1, tries + 1):
+        judged = ask(todo).select(key, "reply", validated(F.col("reply"), known_ids).alias("enrichment"))
+        good = judged.where(F.col("enrichment").isNotNull() | F.lit(n == tries)).select(key, "enrichment", F.lit(n).alias("tries"))
+        out = good if out is None else out.unionByName(good)
+        bad = judged.where(F.col("enrichment").isNull()).select(key, F.col("reply").alias("feedback"))
+        todo = rows.join(bad, key)
+    return out
+
+
 def unembedded(commands: DataFrame, cache: DataFrame, live_hash: str) -> DataFrame:
     """Commands whose embedding isn't of the live configuration."""
     return commands.join(cache.where(F.col("embed_config_hash") == live_hash).select("command_hash"), "command_hash", "left_anti")

@@ -474,3 +474,40 @@ def intel_summary(spark, d):
     rows = table(spark, d, "labels").where("toxic IS NOT NULL AND quality IS NOT NULL")
     verdicts = rows.select(F.lit("ip").alias("kind"), F.col("doc_id").cast("string").alias("value"), (F.col("toxic") == 1).alias("malicious"), F.lit(5).alias("confidence"), F.lit(1).alias("n_malicious"), (F.col("quality") == 0).alias("derived"))
     return worker.summary(verdicts).select("kind", "value", "malicious")
+
+
+@query("SELECT user_id, CASE WHEN best >= 50 THEN true END AS malicious, CASE WHEN best >= 50 THEN 'threatfox_c2 server' ELSE 'threatfox_low' END AS label, CASE WHEN best >= 50 THEN CAST(least(greatest(5 + round_even((best - 50) / 10.0, 0), 5), 10) AS INTEGER) END AS confidence, CASE WHEN best >= 50 THEN 'threatfox_match,threatfox_type_c2_server,m' || best ELSE 'threatfox_low_confidence,m' || best END AS tags FROM (SELECT user_id, max(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS best FROM events WHERE event_id % 9 < 2 GROUP BY 1)")
+def threat_verdicts(spark, d):
+    """The best of each address's entries speaks."""
+    from ..functions import verdicts as R
+
+    k = F.get_json_object("props", "$.k").cast("int")
+    rows = table(spark, d, "events").where("event_id % 9 < 2").groupBy("user_id").agg(F.max(k).alias("best"))
+    entry = lambda level: F.struct(level.cast("int").alias("confidence_level"), F.lit(" C2 Server ").alias("threat_type"), F.concat(F.lit("M"), level.cast("string")).alias("malware"), F.lit("NULL").alias("malware_alias"))
+    v = rows.select("user_id", R.threat_entries(F.array(entry(F.col("best") - 1), entry(F.col("best")))).alias("v"))
+    return v.select("user_id", "v.malicious", "v.label", "v.confidence", F.array_join("v.tags", ",").alias("tags"))
+
+
+@query("SELECT page_id, CASE WHEN page_id % 3 = 0 THEN true END AS malicious, CASE WHEN page_id % 3 = 0 THEN CASE WHEN page_id % 2 = 0 THEN 'urlhaus_malware_download' ELSE 'urlhaus_unknown' END END AS label, CASE WHEN page_id % 3 <> 0 THEN '' WHEN page_id % 2 = 0 THEN 'urlhaus_match,urlhaus_threat_malware_download,elf' ELSE 'urlhaus_match,elf' END AS tags, rtrim(url, '/') || CASE WHEN url LIKE '%/' THEN '' ELSE '/' END AS other FROM pages")
+def url_list_verdicts(spark, d):
+    from ..functions import verdicts as R
+
+    n = F.col("page_id")
+    tags = F.array(F.lit(" ELF"), F.lit("None"), F.lit(""), F.lit(None))
+    v = R.listed_url(n % 3 == 0, F.when(n % 2 == 0, "Malware_Download").otherwise("null"), tags)
+    rows = table(spark, d, "pages").select("page_id", v.alias("v"), R.url_variants(F.col("url"))[1].alias("other"))
+    return rows.select("page_id", "v.malicious", "v.label", F.array_join("v.tags", ",").alias("tags"), "other")
+
+
+@query("SELECT command_line, CASE WHEN n < 3 THEN 'execution' END AS intent, CAST(least(n + 1, 3) AS INTEGER) AS tries FROM (SELECT command_line, length(command_line) % 4 AS n FROM (SELECT DISTINCT command_line FROM ev))", (EV,))
+def model_retries(spark, d):
+    """A model whose first replies are no JSON, as many as the command's length says."""
+    c = commands.dedup(A.events(spark, d)).select("command_hash", "command_line")
+
+    def ask(rows):
+        rounds = F.length(F.coalesce("feedback", F.lit("")))
+        good = F.lit('{"intent": "execution", "confidence": 7}')
+        return rows.select("command_hash", F.when(rounds >= F.length("command_line") % 4, good).otherwise(F.concat(F.coalesce("feedback", F.lit("")), F.lit("x"))).alias("reply"))
+
+    out = naming.asked_again(c, ask, F.array().cast("array<string>"))
+    return out.join(c, "command_hash").select("command_line", F.col("enrichment.intent").alias("intent"), "tries")

@@ -282,10 +282,10 @@ def itemset_holders(spark, d):
 
 
 @query("""SELECT node, min(reach) AS component FROM walk GROUP BY 1""",
-    ("RECURSIVE link AS (SELECT DISTINCT user_id AS a, 100000 + CAST(json_extract_string(props, '$.k') AS BIGINT) * 1000 + day(ts) AS b FROM events WHERE event_type = 'error')",
+    ("RECURSIVE link AS (SELECT DISTINCT user_id AS a, 100000 + CAST(json_extract_string(props, '$.k') AS BIGINT) * 1000 + day(ts) AS b FROM events)",
      "both_ways AS (SELECT a AS x, b AS y FROM link UNION SELECT b, a FROM link)", "walk AS (SELECT DISTINCT x AS node, x AS reach FROM both_ways UNION SELECT w.node, y FROM walk w JOIN both_ways ON x = w.reach)"))
 def infra_components(spark, d):
-    ev = table(spark, d, "events").where("event_type = 'error'")
+    ev = table(spark, d, "events")
     k = F.get_json_object("props", "$.k").cast("long")
     return mining.components(ev.select(F.col("user_id").alias("a"), (100000 + k * 1000 + F.dayofmonth("ts")).alias("b")).distinct())
 

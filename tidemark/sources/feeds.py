@@ -58,9 +58,16 @@ def fresh(snapshots: DataFrame, as_of, max_age_hours: float) -> DataFrame:
     return snapshots.where((F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("fetched_at")) <= max_age_hours * 3.6e9)
 
 
+#: Fields of a client's key exchange and their names here (fixed values).
+CLIENT = {
+    "hassh": "hassh", "hasshAlgorithms": "hassh_algorithms", "kexAlgs": "kex_algorithms", "keyAlgs": "key_algorithms",
+    "encCS": "enc_cs", "macCS": "mac_cs", "compCS": "comp_cs", "langCS": "lang_cs",
+}
+
+
 def raw_log(spark: SparkSession, path: str) -> DataFrame:
     """Honeypot log lines as raw events; lines that are no JSON are tagged, not lost."""
-    fields = "eventid string, timestamp string, src_ip string, src_port string, dst_ip string, dst_port string, session string, protocol string, username string, password string, input string, version string, url string, destfile string, shasum string, duration double, message string, sensor string"
+    fields = "eventid string, timestamp string, src_ip string, src_port string, dst_ip string, dst_port string, session string, protocol string, username string, password string, input string, version string, url string, destfile string, shasum string, duration double, message string, sensor string, hassh string, hasshAlgorithms string, kexAlgs array<string>, keyAlgs array<string>, encCS array<string>, macCS array<string>, compCS array<string>, langCS array<string>"
     return project_log(spark.read.text(path), "value", fields)
 
 
@@ -84,6 +91,7 @@ def project_log(lines: DataFrame, column: str, fields: str) -> DataFrame:
     )
     outcome = F.when(action == "cowrie.login.failed", F.lit("failure")).when(action.isin("cowrie.login.success", "cowrie.session.connect", "cowrie.session.closed"), F.lit("success"))
     related = lambda *c: F.array_distinct(F.array_compact(F.array(*[F.col(x) for x in c])))
+    client = [F.col(f"m.{c}").alias(name) for c, name in CLIENT.items() if f"{c} " in fields]
     bad = F.col("m.eventid").isNull() & F.col("m.session").isNull()
     return lines.select(F.col(column).alias("original"), m.alias("m")).select(
         F.try_to_timestamp("m.timestamp").alias("ts"), action.alias("action"), group.alias("category"), kind.alias("type"), outcome.alias("outcome"),
@@ -92,5 +100,5 @@ def project_log(lines: DataFrame, column: str, fields: str) -> DataFrame:
         F.nullif(F.col("m.input"), F.lit("")).alias("command_line"), F.col("m.version").alias("user_agent"), N.basename(F.col("m.destfile")).alias("file_name"), N.url_parts(F.col("m.url")).alias("url"),
         (F.col("m.duration") * 1e9).cast("long").alias("duration_ns"), N.network_type(F.col("m.src_ip")).alias("network_type"),
         related("m.src_ip", "m.dst_ip").alias("related_ip"), related("m.username").alias("related_user"), related("m.shasum").alias("related_hash"),
-        F.lit("event").alias("event_kind"), F.when(bad, F.array(F.lit("parse_failure"))).otherwise(F.array().cast("array<string>")).alias("tags"), "original",
+        F.lit("event").alias("event_kind"), F.when(bad, F.array(F.lit("parse_failure"))).otherwise(F.array().cast("array<string>")).alias("tags"), "original", *client,
     )
