@@ -183,6 +183,66 @@ def test_verbs(spark, tmp_path):
     assert "commands" in call("reset")["dropped"] and not call("healthcheck")["commands"] and call("healthcheck")["events"]
 
 
+def test_closed_sessions_of_a_stream(spark, tmp_path):
+    events = make_events(spark)
+    last = events.groupBy("session_id").agg(F.max("ts").alias("ts"), F.first("source_ip").alias("source_ip"))
+    ends = last.where("session_id < 's5'").select(F.lit(0).cast("int").alias("event_id"), "ts", "source_ip", "session_id", F.lit("session.closed").alias("action"), F.lit(None).cast("string").alias("command_line"))
+    whole = events.unionByName(ends.select(*events.columns)) if set(events.columns) == set(ends.columns) else events.unionByName(ends, allowMissingColumns=True)
+    whole.repartition(4).write.parquet(f"{tmp_path}/in")
+    stream = streaming.event_stream(spark, f"{tmp_path}/in", whole.schema, 1)
+    streaming.roll_up_closed(stream, f"{tmp_path}/in", f"file://{tmp_path}/out", f"{tmp_path}/cp")
+    got = spark.read.parquet(f"{tmp_path}/out").select("session_id", "command_count")
+    want = rollups.sessions(whole).where("session_id < 's5'").select("session_id", "command_count")
+    assert got.count() > 5 and sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_lock(spark, tmp_path):
+    path = f"file://{tmp_path}/lock"
+    with store.locked(spark, path):
+        with pytest.raises(BlockingIOError), store.locked(spark, path):
+            pass
+    with store.locked(spark, path):
+        assert store.exists(spark, path)
+    assert not store.exists(spark, path)
+
+
+def test_registry(spark):
+    from tidemark.functions import registry
+    from tidemark.functions import text as T
+
+    assert registry.register(spark) == ["tm_normalised", "tm_hash16", "tm_label"]
+    rows = spark.createDataFrame([("  a \t b\u2003c ",), ("x" * 5000,), (None,)], "t string")
+    rows.createOrReplaceTempView("registry_rows")
+    got = spark.sql("SELECT tm_normalised(t), tm_hash16(t), tm_label(t) FROM registry_rows").collect()
+    want = rows.select(T.normalised(F.col("t")), T.hash16(F.col("t")), T.label(F.col("t"))).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
+    kinds = spark.createDataFrame([("ip", "2606:4700::0001"), ("domain", " A.B. "), ("hash", "F" * 32), ("hash", "f"), ("other", "x")], "kind string, value string")
+    assert [r[0] for r in kinds.select(registry.canonical(F.col("kind"), F.col("value"))).collect()] == ["2606:4700::1", "a.b", "f" * 32, None, None]
+
+
+def test_listed_indicators(spark):
+    import ipaddress
+
+    from tidemark.functions import text as T
+
+    ips = ["1.2.3.4", " 10.0.0.1. ", "[::1]", "256.1.1.1", "01.2.3.4", "1.2.3", "::", "1::2::3", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7", "::ffff:1.2.3.4", "1:2:3:4:5:6:7::", "1:2:3:4:5:6:7:8::", "12345::", "g::", "", "x", "1:2:3:4:5:6:1.2.3.4", ":1"]
+    given = {"ips": ips, "hashes": [" " + "A" * 32, "a" * 33, "b" * 40, "z" * 32, "c" * 64], "domains": ["Evil.Example.", "a/b.c", "one", "x.y z", "-a.b"], "urls": [" http://a", "a.b", "TFTP://x", "ftp:/x", "gopher://x"], "files": ["/tmp/x", "a b", "..", "", "é"]}
+    rows = spark.createDataFrame([tuple(given.values())], ",".join(f"{k} array<string>" for k in given))
+    got = rows.select(*[T.listed_iocs(k, F.col(k)).alias(k) for k in given]).first()
+
+    def stands(v):
+        try:
+            return ipaddress.ip_address(v) is not None
+        except ValueError:
+            return False
+
+    bare = [v.strip().rstrip(".").strip("[]") for v in ips]
+    assert got["ips"] == [v for v in bare if stands(v)]
+    assert got["hashes"] == ["a" * 32, "b" * 40, "c" * 64] and got["domains"] == ["evil.example"] and got["urls"] == ["http://a", "TFTP://x"] and got["files"] == ["/tmp/x", "é"]
+    with pytest.raises(ValueError):
+        T.listed_iocs("other", F.col("ips"))
+
+
 def test_weights_stand_for_equal_points():
     import numpy as np
 

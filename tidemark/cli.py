@@ -175,6 +175,10 @@ VERBS: dict[str, Callable] = {
 }
 
 
+#: Verbs that change nothing, so they need no lock.
+READS = ("healthcheck", "budget")
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description=__doc__, formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("target")
@@ -197,7 +201,12 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> dict:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName("tidemark").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    found = VERBS[args.verb](Run(spark, args.target, load(*args.config), args.as_of), args)
+    run = Run(spark, args.target, load(*args.config), args.as_of)
+    if args.verb in READS:
+        found = VERBS[args.verb](run, args)
+    else:
+        with store.locked(spark, run.path("_lock")):
+            found = VERBS[args.verb](run, args)
     print(found)
     return found
 

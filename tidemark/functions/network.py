@@ -23,6 +23,18 @@ def ipv4_number(ip: Column) -> Column:
     return F.when(good, number)
 
 
+def is_ip(value: Column) -> Column:
+    """Whether the text is an IPv4 or IPv6 address, public or not; a plain expression, so it works within arrays."""
+    octet = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
+    v4 = rf"(?:{octet}\.){{3}}{octet}"
+    group = "[0-9A-Fa-f]{1,4}"
+    plain = F.regexp_replace(value, f":{v4}$", ":0:0")  # an embedded IPv4 address stands for two groups
+    whole = plain.rlike(f"^(?:{group}:){{7}}{group}$")
+    groups = F.length(F.regexp_replace(F.regexp_replace(plain, group, "g"), ":", ""))
+    short = plain.rlike(f"^(?:{group}(?::{group})*)?::(?:{group}(?::{group})*)?$") & (groups <= 7)
+    return value.rlike(f"^{v4}$") | whole | short
+
+
 def _bounds(cidr: str) -> tuple[int, int]:
     net = ipaddress.ip_network(cidr, strict=False)
     return int(net.network_address), int(net.broadcast_address)

@@ -114,7 +114,7 @@ def listed_iocs(kind: str, values: Column) -> Column:
     stripped = F.transform(own, lambda v: F.trim(v))
     if kind == "ips":
         bare = F.transform(stripped, lambda v: F.regexp_replace(F.regexp_replace(v, r"\.+$", ""), r"^[\[\]]+|[\[\]]+$", ""))
-        return F.filter(bare, lambda v: (v != "") & N.canonical_ip(v).isNotNull())
+        return F.filter(bare, N.is_ip)
     if kind == "hashes":
         return F.filter(F.transform(stripped, F.lower), lambda v: v.rlike(f"^{HEX}$"))
     if kind == "domains":

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,21 @@ def swap(df: DataFrame, path: str, least_rows: int = 0) -> int:
     return n
 
 
+@contextmanager
+def locked(spark: SparkSession, path: str):
+    """Holds a lock file while a run works, so that a second run of the same kind fails at once.
+
+    A run that is killed leaves it; whoever knows that none works any more removes the file.
+    """
+    fs, where = _fs(spark, path)
+    if not fs.createNewFile(where):
+        raise BlockingIOError(f"another run holds {path}")
+    try:
+        yield
+    finally:
+        fs.delete(where, False)
+
+
 def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         fs, where = _fs(spark, path)

@@ -47,6 +47,25 @@ def upsert_table(stream: DataFrame, path: str, key: str, checkpoint: str) -> Non
     q.awaitTermination()
 
 
+def roll_up_closed(stream: DataFrame, events_path: str, path: str, checkpoint: str, closing: str = "session.closed") -> None:
+    """Whenever sessions close, rolls them up anew from all their stored events and keeps them by session id.
+
+    A batch only says which sessions have ended; late events of a session count when it closes, and a
+    batch that is run again gives the same rows.
+    """
+    from ..operators import findings, rollups, scans, store
+
+    def merge(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        closed = scans.closed_sessions(batch, closing)
+        rolled = rollups.sessions(scans.events_of(spark.read.parquet(events_path), closed))
+        stored = spark.read.parquet(path) if store.exists(spark, path) else rolled.limit(0)
+        store.swap(findings.replaced(stored, rolled, "session_id"), path)
+
+    ended = stream.where(F.col("action") == closing)
+    ended.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
 def upsert_batches(stream: DataFrame, merge, checkpoint: str) -> None:
     """Hands each micro-batch to merge(batch, batch_id), which must be idempotent by batch_id."""
     stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
