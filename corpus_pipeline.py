@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import identifiers, packing, severity, shingle_join, substrings
-from tidemark.llm._common import table, written
+from tidemark.llm._common import dropped_since, scratch_mark, table, written
 from tidemark.llm.queries import _vocabulary
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -79,7 +79,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages one after the other; what a stage has put aside goes when its result is written."""
+    docs, start = table(spark, sf_dir, "documents"), scratch_mark()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        dropped_since(start, docs)
     return STAGES[-1][1](spark, docs, sf_dir)

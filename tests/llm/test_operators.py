@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import graph, identifiers, imatch, queries, severity, shingle_join, substrings, url_rules, vector_passes
+from tidemark.llm import _common, graph, identifiers, imatch, queries, severity, shingle_join, substrings, url_rules, vector_passes
 
 WORDS = [f"{a}{b}" for a in "ka lo mi nu pe ro sta tri vul wex".split() for b in "dan fel gor hin jup kes lam mot".split()]
 
@@ -714,5 +714,7 @@ def test_pipeline(spark, tmp_path):
     assert "a.b@c.de" not in left[7]["text"] and "<email>" in left[7]["text"] and all(r["n_chars"] == len(r["text"]) for r in left.values())
     untouched = [k for k in left if k not in (5, 7)]
     assert all(left[k]["text"] == texts[k] for k in untouched)
+    before = _common.scratch_mark()
     packed = pipeline.run(spark, sf)
+    assert _common.scratch_mark() - before <= 2  # the last stage's documents and its pieces
     assert packed.agg(F.max("n_tokens")).first()[0] <= 2048 and packed.select(F.explode("documents.doc_id")).distinct().count() == len(left)

@@ -9,7 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Stands for a null document id where an order is needed: nulls sort before every id.
+#: Stands for a null document id where an order is needed: nulls sort before every id. A document of this very id,
+#: the least there is, counts as one without an id.
 NULL_ID = -(2**63)
 
 _made: list[tuple[SparkSession, str]] = []
@@ -81,6 +82,20 @@ def dropped(*tables: DataFrame) -> None:
         _remove(t.sparkSession, t.tm_path)
 
 
+def scratch_mark() -> int:
+    """A mark for dropped_since()."""
+    return len(_made)
+
+
+def dropped_since(mark: int, *keep: DataFrame) -> None:
+    """Removes all tables that were written since the mark but those to keep; nothing may read them any more."""
+    kept = {t.tm_path.rsplit("/", 1)[0] for t in keep}
+    for spark, path in _made[mark:]:
+        if path not in kept:
+            _remove(spark, path)
+    _made[mark:] = [m for m in _made[mark:] if m[1] in kept]
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only (doc_id, text), a null text as the empty one; other columns can't clash."""
     return docs.select(
